@@ -8,7 +8,7 @@ windows decides.
 * Term weights come from document frequencies over the whole corpus, counted in one pass.
 * The inverted index lists an exemplar under its heaviest terms only: those without which its coverage can't reach the
   threshold. Of a document, only passages with a listed term are weighed.
-* A passage is a sentence or line; for exemplars shorter than it, the windows of the exemplar's size. Residue is a
+* A passage is a sentence or line, or two short ones; for exemplars shorter than it, the windows of the exemplar's size. Residue is a
   window that covers ``coverage`` of an exemplar's weight, or a passage that is covered by a filler exemplar.
 * Text in quotation marks 「」 or 『』 is reported speech and taken out first; so masked names and marks of omission
   have no exemplar. Null, empty and blank texts are no residue.
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import not_blank, read
 
-COVERAGE, FILLER_COVERAGE, FILLER_TERMS = 0.8, 0.75, 5
+COVERAGE, FILLER_COVERAGE, FILLER_TERMS, SHORT = 0.8, 0.75, 5, 60
 
 # Labelled exemplars. Parts that vary (numbers, codes, file names) carry no terms.
 EXEMPLARS: dict[str, tuple[str, ...]] = {
@@ -47,8 +47,8 @@ EXEMPLARS: dict[str, tuple[str, ...]] = {
         "查詢結果載入失敗，請重新整理", "查詢逾時，連線已中斷", "資料庫連線失敗", "請洽系統管理員", "錯誤編號：", "無此頁面！", "檢索條件有誤，請回上一頁", "查無資料，請重新查詢",
         "很抱歉，您所查詢的案件資料不存在或已移除", "很抱歉，您所查詢的網頁不存在或已移除", "很抱歉，您所查詢的裁判書不存在或已移除", "找不到您要的頁面", "網站維護中，預計小時後恢復服務", "造成不便敬請見諒",
         "回首頁｜網站導覽｜隱私權政策", "您沒有權限檢視此頁面", "ORA: timeout occurred", "Access denied. Your request was blocked", "The page you requested could not be displayed",
-        "HTTP Status Internal Server Error", "HTTP Status Too Many Requests", "HTTP Status Not Found", "HTTP Status Service Unavailable", "Type: Status Report", "Gateway Timeout nginx",
-        "Bad Gateway nginx", "Service Unavailable nginx", "Not Found nginx", "html head title Forbidden title head body", "html head title Gateway Timeout title head body", "html head title Bad Gateway title head body",
+        "HTTP Status Internal Server Error", "HTTP Status Too Many Requests", "HTTP Status Not Found", "HTTP Status Service Unavailable", "Type: Status Report", "Gateway Timeout",
+        "Bad Gateway", "Service Unavailable nginx", "Too Many Requests nginx", "Internal Server Error nginx", "Forbidden nginx", "Not Found nginx", "html head title Forbidden title head body", "html head title Gateway Timeout title head body", "html head title Bad Gateway title head body",
         "html head title Not Found title head body", "html head title Internal Server Error title head body", "html head title Service Unavailable title head body",
         "Traceback (most recent call last)", "java lang NullPointerException", "at app View render View java", "File render py line in page", "KeyError jfull", "Page not found", "Too many requests, please try again later",
     ),
@@ -60,12 +60,12 @@ EXEMPLARS: dict[str, tuple[str, ...]] = {
 }
 # The syntaxes of unfilled slots.
 SLOTS = re.compile(
-    r"\$\{[^{}\n]{1,40}\}|\$!\{?[A-Za-z_][\w.]*\}?|\{\{[^{}\n]{1,40}\}\}|\{%[^%\n]{1,40}%\}|#\{[^{}\n]{1,40}\}|<%=?[^%\n]{1,40}%>|\{\d{1,2}\}|(?<![\w%])%[A-Z][A-Z_]+%|@@\w+@@"
+    r"\$\{[^{}\n]{1,40}\}|\$!\{?[A-Za-z_][\w.]*\}?|\{\{[^{}\n]{1,40}\}\}|\{%[^%\n]{1,40}%\}|#\{[^{}\n]{1,40}\}|<%=?[^%\n]{1,40}%>|\{\d{1,2}\}|(?<!%)%[A-Z][A-Z_]{2,}%|@@\w+@@"
     r"|__[A-Z][A-Z_]*?[A-Z]__|\[\[[^\[\]\n]{1,20}\]\]|\[INSERT [^\]\n]{1,40}\]|«[^«»\n]{1,20}»|【請[填輸][^】\n]{0,20}】|（此處[填輸][^）\n]{0,20}）|<[一-鿿]{2,8}>"
 )
 # What programs write for a value that they don't have.
 _VALUE = r"(?:\(null\)|null|NULL|None|NaN|undefined|nil|#REF!|#N/A|#VALUE!|#NAME\?|#DIV/0!|\[object Object\]|TBD)"
-VALUES = re.compile(rf"(?m)(?:(?<=[：:＝=年月])|^)[ \t　]*{_VALUE}[ \t　\r]*(?=$|[年月日，。；,;])")
+VALUES = re.compile(rf"(?m)(?:(?<=[：:＝=年月])|^)[ \t　]*{_VALUE}(?:[ \t　]+{_VALUE})*[ \t　\r]*(?=$|[年月日，。；,;])")
 QUOTED = re.compile("「[^「」]*」|『[^『』]*』")
 PASSAGE = re.compile(r"[\r\n。！？!?]+|(?<=[a-z])\.\s")
 TERM = re.compile(r"[a-zà-ÿ]+|[一-鿿]+")
@@ -101,8 +101,9 @@ def exemplars(texts: dict[str, tuple[str, ...]] = EXEMPLARS) -> list[Exemplar]:
     out = [Exemplar("template", frozenset([SLOT_TERM]), 1), Exemplar("template", frozenset([VALUE_TERM]), 1)]
     for label, some in texts.items():
         for text in some:
-            t = terms(text.lower())
-            out.append(Exemplar(label, frozenset(t), len(t)))
+            for part in PASSAGE.split(text.lower()):
+                if t := terms(part):
+                    out.append(Exemplar(label, frozenset(t), len(t)))
     return out
 
 
@@ -158,9 +159,16 @@ class Index:
         low = text.lower()
         if next(self.automaton.iter(low), None) is None:
             return None
+        before = ""
         for passage in PASSAGE.split(low):
-            if next(self.automaton.iter(passage), None) is not None and (found := self.weigh(passage)):
-                return found
+            if next(self.automaton.iter(passage), None) is not None:
+                if found := self.weigh(passage):
+                    return found
+                # Notices are often broken over two short lines.
+                if before and len(passage) < SHORT and (found := self.weigh(f"{before} {passage}")):
+                    return found
+            if passage.strip():
+                before = passage if len(passage) < SHORT else ""
         return None
 
 
