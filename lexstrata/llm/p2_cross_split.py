@@ -206,5 +206,5 @@ def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read(spark, sf_dir, "labelled_lines")
     classes, pairs = overlaps(lines)
     hit = _members(lines, classes).where("NOT t").join(pairs.select(F.col("eval_cid").alias("cid")).distinct(), "cid", "left_semi").select("line_id")
-    rows = lines.where("split IS NOT NULL AND trim(lower(split)) <> 'train'").join(hit.withColumn("hit", F.lit(1)), "line_id", "left")
+    rows = lines.select("line_id", "split", "source").where("split IS NOT NULL AND trim(lower(split)) <> 'train'").join(hit.withColumn("hit", F.lit(1)), "line_id", "left")
     return rows.groupBy("split", "source").agg(F.count("*").alias("n_lines"), F.count("hit").alias("n_overlapping"))

@@ -26,7 +26,7 @@ from .common import read
 
 LIMIT, OVERLAP = 512, 64
 # Ends of lines, sentences and clauses; closing quotes and brackets stay with what they close.
-ENDS = (re.compile(r"\r\n|[\n\r\x0b\x0c\x85  ]"), re.compile(r"(?:[。！？!?…]+|\.(?=\s))[」』”’）)\]]*"), re.compile(r"[；;，,、：:]+[」』”’）)\]]*"))
+ENDS = (re.compile(r"\r\n|[\n\r\x0b\x0c\x85\u2028\u2029]"), re.compile(r"(?:[。！？!?…]+|\.(?=\s))[」』”’）)\]]*"), re.compile(r"[；;，,、：:]+[」』”’）)\]]*"))
 PIECES = "item_table string, field_name string, row_id long, piece int, start int, size int, text string"
 
 

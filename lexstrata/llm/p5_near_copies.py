@@ -140,6 +140,7 @@ def near_copies(texts: DataFrame, t: float = THRESHOLD, margin: float = 0.2) ->
     """Classes (id, cid: the smallest id with the same text) and links between classes (a, b, jaccard).
 
     texts: id, text without white space. margin: how far under t an estimate may be; over 4 standard deviations."""
+    texts = texts.select("id", "text")
     rows = materialize(sketches(texts), "p5-sketches")
     least = rows.groupBy("h1", "h2").agg(F.min("id").alias("cid"))
     classes = materialize(rows.select("id", "h1", "h2").join(least, ["h1", "h2"]).select("id", "cid"), "p5-classes")

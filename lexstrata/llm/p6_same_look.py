@@ -26,7 +26,7 @@ from .common import materialize, not_blank, read
 
 # Letters of the same shape, and CJK radicals that have no Unicode decomposition.
 LOOKALIKES = (
-    ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿοναιϲϳ", "ABEZHIKMNOPTYXCJovaicj"),
+    ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿοναιρϲϳ", "ABEZHIKMNOPTYXCJovaipcj"),
     ("АВЕЅІЈКМНОРСТУХҮԌаеорсухѕіјһԁԛԝӏ", "ABESIJKMHOPCTYXYGaeopcyxsijhdqwl"),
 )
 RADICALS = (

@@ -159,16 +159,17 @@ class Index:
         low = text.lower()
         if next(self.automaton.iter(low), None) is None:
             return None
-        before = ""
+        before, before_listed = "", False
         for passage in PASSAGE.split(low):
-            if next(self.automaton.iter(passage), None) is not None:
-                if found := self.weigh(passage):
-                    return found
-                # Notices are often broken over two short lines.
-                if before and len(passage) < SHORT and (found := self.weigh(f"{before} {passage}")):
-                    return found
+            listed = next(self.automaton.iter(passage), None) is not None
+            if listed and (found := self.weigh(passage)):
+                return found
+            # Notices are often broken over two short lines.
+            short = len(passage) < SHORT
+            if before and short and (listed or before_listed) and (found := self.weigh(f"{before} {passage}")):
+                return found
             if passage.strip():
-                before = passage if len(passage) < SHORT else ""
+                before, before_listed = (passage, listed) if short else ("", False)
         return None
 
 
