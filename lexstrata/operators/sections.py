@@ -57,7 +57,7 @@ def extract_dates(docs: DataFrame) -> DataFrame:
     lines = date_lines(docs)
     for c in "中華民國年月日":
         lines = lines.where(F.col("raw").contains(c))
-    cleaned = X.without_space(F.regexp_replace("raw", "​", ""))
+    cleaned = X.without_space(F.regexp_replace("raw", "\u200b", ""))
     short = r"(?U)民國(\d+)年(\d+)月(\d+)日"
     tries = [("raw", X.ROC_DATE), ("raw", short), ("cleaned_line", X.ROC_DATE), ("cleaned_line", short)]
     lines = lines.withColumn("cleaned_line", cleaned)
