@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from .lines import first_where, last_where, lf_lines, running
+from .structure import level_of, rule_maps
 
 APPENDIX = ("附錄", "附件", "附圖", "附表")
 
 
-def mark_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, idx0, raw, is_date, marker: main_text, facts, reasons, facts_and_reasons by the whole line; appendix by
+def mark_lines(lines: DataFrame) -> DataFrame:
+    """Add is_date and marker to lines (doc_id, idx0, raw): main_text, facts, reasons, facts_and_reasons by the whole line; appendix by
     its first two characters, behind the document's last date; null otherwise. A date line can have a marker too."""
-    lines = lf_lines(docs).withColumn("text", X.strip(F.col("raw"))).withColumn("bare", X.without_blanks(F.col("text")))
-    lines = lines.withColumn("is_date", X.is_roc_date(F.col("text"))).withColumn("last_date", last_where(F.col("is_date")))
+    text = X.strip(F.col("raw"))
+    lines = lines.withColumns({"bare": X.without_blanks(text), "is_date": X.is_roc_date(text)}).withColumn("last_date", last_where(F.col("is_date")))
     marker = (
         F.when(F.col("bare") == "主文", "main_text")
         .when(F.col("bare") == "事實", "facts")
@@ -23,27 +24,26 @@ def mark_lines(docs: DataFrame) -> DataFrame:
         .when(F.col("bare").isin("事實及理由", "事實和理由", "事實與理由"), "facts_and_reasons")
         .when((F.col("idx0") > F.col("last_date")) & F.left("bare", F.lit(2)).isin(*APPENDIX), "appendix")
     )
-    return lines.withColumn("marker", marker).select("doc_id", "idx0", "raw", "is_date", "marker")
+    return lines.withColumn("marker", marker).drop("bare", "last_date")
 
 
 def special_markers(docs: DataFrame) -> DataFrame:
     """doc_id, marker_type, idx0: markers and dates."""
-    rows = mark_lines(docs)
+    rows = mark_lines(lf_lines(docs))
     kinds = F.array_compact(F.array(F.col("marker"), F.when(F.col("is_date"), F.lit("dates"))))
     return rows.select("doc_id", F.explode(kinds).alias("marker_type"), "idx0")
 
 
-def line_chunks(docs: DataFrame, found: DataFrame, rules: DataFrame) -> DataFrame:
+def line_chunks(lines: DataFrame, rules: DataFrame) -> DataFrame:
     """doc_id, seq, level, start_line, end_line (from 0), chunk_type, content_lines, leveling_symbol, chunk_id.
 
-    Each line is put in every chunk that it belongs to, in one pass over the document, as (branch, group); a chunk is a
-    group. The branches: header, first date, signature, last date, heading, symbol, content, appendix, appendix
-    content, footer. Chunks are ordered by start, then branch."""
-    levels = rules.select("doc_id", "symbol_category", "assigned_level")
-    marked = found.where("final_prediction").join(levels, ["doc_id", "symbol_category"], "left")
+    lines: of detect_lines. Each line is put in every chunk that it belongs to, in one pass over the document, as (branch,
+    group); a chunk is a group. The branches: header, first date, signature, last date, heading, symbol, content,
+    appendix, appendix content, footer. Chunks are ordered by start, then branch."""
+    lines = mark_lines(lines.select("doc_id", "idx0", "raw", "detected_symbol", "symbol_category", "final_prediction")).join(rule_maps(rules), "doc_id", "left")
     # A category that was not learned has level 1 here.
-    marked = marked.select("doc_id", (F.col("line_number") - 1).alias("idx0"), "detected_symbol", F.coalesce("assigned_level", F.lit(1)).cast("long").alias("symbol_level"))
-    lines = mark_lines(docs).join(marked, ["doc_id", "idx0"], "left")
+    lines = lines.withColumn("symbol_level", F.coalesce(level_of(F.col("symbol_category")), F.lit(1)).cast("long"))
+    lines = lines.withColumn("detected_symbol", F.when(F.col("final_prediction"), F.col("detected_symbol"))).drop("rules")
 
     i, marker, is_date = F.col("idx0"), F.col("marker"), F.col("is_date")
     sym = F.col("detected_symbol").isNotNull()

@@ -32,9 +32,17 @@ def ultra_strict(docs: DataFrame) -> DataFrame:
     )
 
 
+COLUMNS = ["doc_id", "line_number", "line_text", "detected_symbol", "symbol_category", "rule_based_score", "bert_score", "final_prediction", "method_used"]
+
+
 def detect(docs: DataFrame, scorer: Scorer | None = None, threshold: float = 0.5) -> DataFrame:
     """One row per line: doc_id, line_number (from 1), line_text, detected_symbol, symbol_category, rule_based_score,
-    bert_score, final_prediction, method_used.
+    bert_score, final_prediction, method_used."""
+    return detect_lines(docs, scorer, threshold).select(*COLUMNS)
+
+
+def detect_lines(docs: DataFrame, scorer: Scorer | None = None, threshold: float = 0.5) -> DataFrame:
+    """The columns of detect, idx0 and the raw line.
 
     Blank lines, private-use symbols before 、, and lines that begin with a standard symbol are told apart by rule; only
     the last are scored. They are filtered before the scorer, since Spark would run it on all rows inside a when."""
@@ -53,7 +61,7 @@ def detect(docs: DataFrame, scorer: Scorer | None = None, threshold: float = 0.5
         marked = F.col("kind").isin("ultra_strict_pua", "soft_rule_only")
         rule = F.when(F.col("kind") == "ultra_strict_pua", 1.0).when(F.col("kind") == "soft_rule_only", 0.5).otherwise(0.0)
         return lines.select(
-            "doc_id", (F.col("idx0") + 1).alias("line_number"), "line_text", F.when(marked, F.col("symbol")).alias("detected_symbol"), F.when(marked, F.col("category")).alias("symbol_category"),
+            "doc_id", "idx0", "raw", (F.col("idx0") + 1).alias("line_number"), "line_text", F.when(marked, F.col("symbol")).alias("detected_symbol"), F.when(marked, F.col("category")).alias("symbol_category"),
             rule.alias("rule_based_score"), bert.cast("double").alias("bert_score"), prediction.alias("final_prediction"), method.alias("method_used"),
         )
 

@@ -27,11 +27,17 @@ class Analysis:
     rules decide. keep() stores the frames that others are made of, where several outputs are written."""
 
     def __init__(self, docs: DataFrame, scorer: D.Scorer | None = None, threshold: float = 0.5) -> None:
-        self.docs, self.scorer, self.threshold = docs, scorer, threshold
+        # Whole documents are shuffled once by doc_id; every later window, join and group on doc_id keeps that partitioning,
+        # so that lines are never shuffled, and all branches read the one exchange.
+        self.docs, self.scorer, self.threshold = docs.repartition("doc_id"), scorer, threshold
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        return D.detect_lines(self.docs, self.scorer, self.threshold)
 
     @cached_property
     def found(self) -> DataFrame:
-        return D.detect(self.docs, self.scorer, self.threshold)
+        return self.lines.select(*D.COLUMNS)
 
     @cached_property
     def structure(self) -> DataFrame:
@@ -51,7 +57,7 @@ class Analysis:
 
     @cached_property
     def chunks(self) -> DataFrame:
-        return C.line_chunks(self.docs, self.found, self.rules)
+        return C.line_chunks(self.lines, self.rules)
 
     @cached_property
     def rag(self) -> DataFrame:
@@ -100,7 +106,7 @@ class Analysis:
         return rows.groupBy("learning_region").agg(F.count("*").alias("documents"), F.sum("total_lines").alias("lines"), F.sum("total_symbols_detected").alias("symbols"), F.avg("rule_coverage").alias("mean_coverage"))
 
     def keep(self) -> Analysis:
-        self.found = self.found.persist()
+        self.lines = self.lines.persist()
         self.rules = self.rules.persist()
         self.chunks = self.chunks.persist()
         return self
