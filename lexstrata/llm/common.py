@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 # Java's (?U)\s and Python's str.isspace differ only in U+001C to U+001F.
 SPACE = r"\s\x1c-\x1f"
+# Paths of the tables of this process.
+_written: list[str] = []
 NOT_CLEAN = rf"(?U)[\p{{P}}{SPACE}]+"
 
 
@@ -47,10 +49,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it again: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_tables(spark: SparkSession) -> int:
+    """Delete the tables that materialize wrote in this process; their number. For when no result is read any more."""
+    jvm = spark._jvm
+    n = 0
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        n += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def is_clean_char(ch: str) -> bool:
     return not (ch.isspace() or unicodedata.category(ch)[0] == "P")
 

@@ -105,3 +105,14 @@ def test_p2_report(spark, tables, collect):
     rows = [("train", LINE), ("test", LINE + "！"), ("test", "完全不同的一行文字內容在此處"), ("validation", None), (None, LINE)]
     d = tables(labelled_lines=[{"line_id": i, "line_text": x, "split": s, "source": "q"} for i, (s, x) in enumerate(rows)])
     assert collect(p2.p2_report(spark, d)) == [("test", "q", 2, 1), ("validation", "q", 1, 0)]
+
+
+def test_tables_in_the_shared_folder_are_dropped(spark):
+    from pathlib import Path
+
+    from lexstrata.llm.common import drop_tables, materialize, shared_dir
+
+    drop_tables(spark)
+    assert materialize(spark.range(5), "x").count() == 5
+    there = lambda: [p for p in Path(shared_dir(spark).removeprefix("file:")).glob("x-*")]
+    assert len(there()) == 1 and drop_tables(spark) == 1 and there() == [] and drop_tables(spark) == 0
