@@ -6,7 +6,7 @@ import argparse
 import logging
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import chunks as C
@@ -121,14 +121,6 @@ class Analysis:
         })
 
 
-def corpus_report(docs: DataFrame) -> str:
-    stats = A.doc_stats(docs)
-    return writers.report("Corpus analysis", {
-        "Sections": A.section_summary(stats).orderBy("section"), "Classes": A.class_counts(stats).orderBy(F.desc("count"), "symbol"), "Traditional classes": A.traditional_counts(stats).orderBy(F.desc("count"), "class"),
-        "Largest classes": A.largest_classes(stats), "Dates": A.date_summary(docs), "Months": A.month_counts(docs), "Sizes": A.size_summary(stats),
-    })
-
-
 def process_directory(spark: SparkSession, in_dir: str, out_dir: str, max_files: int | None = None, reports: bool = True) -> Analysis:
     """Analyse the JSON files of a folder; write machine results, Markdown and, unless told otherwise, a report."""
     files = readers.judgment_files(spark, in_dir, max_files)
@@ -141,6 +133,17 @@ def process_directory(spark: SparkSession, in_dir: str, out_dir: str, max_files:
     return analysis
 
 
+def markdown_of_machine_results(spark: SparkSession, path: str) -> DataFrame:
+    """filename, markdown of the machine results in a folder, without analysing the judgments again.
+
+    Chunks are taken by start line, then in the file's order. Results without chunks have no row."""
+    rows = readers.machine_results(spark, path).where("error IS NULL").withColumn("doc_id", F.xxhash64("filename"))
+    order = Window.partitionBy("doc_id").orderBy(F.coalesce("start_line", F.lit(0)), "seq")
+    rows = rows.withColumn("seq", (F.row_number().over(order) - 1).cast("long"))
+    files = rows.groupBy("doc_id").agg(F.first("filename").alias("file_name"), F.first(F.coalesce("learning_region", F.lit(""))).alias("learning_region"))
+    return M.to_markdown(rows, files).join(files.select("doc_id", F.col("file_name").alias("filename")), "doc_id").select("filename", "markdown")
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description="Analyse the structure of judgments")
     parser.add_argument("input", help="folder of JSON files")

@@ -27,6 +27,12 @@ def write_machine_json(payload: DataFrame, path: str) -> None:
     payload.drop("doc_id").write.mode("overwrite").json(path)
 
 
+def write_machine_files(payload: DataFrame, path: str) -> None:
+    """One {stem}_machine.json a document."""
+    fields = [c for c in payload.columns if c != "doc_id"]
+    write_file_per_document(payload, path, F.concat(stem(F.col("filename")), F.lit("_machine.json")), F.to_json(F.struct(*fields)))
+
+
 def write_file_per_document(rows: DataFrame, path: str, name: Column, text: Column) -> None:
     """One file a row, named name, in a folder that all executors share. Written anew if a task runs again."""
     target = path.removeprefix("file://")

@@ -6,7 +6,7 @@ import pytest
 
 from lexstrata.operators import evaluate as E
 from lexstrata.operators import stats as A
-from lexstrata.plans import pipeline
+from lexstrata.plans import pipeline, reports
 from lexstrata.sources import readers, writers
 from lexstrata.streaming import judgment_stream
 
@@ -67,7 +67,7 @@ def test_class_files_and_corpus_report(spark, tmp_path):
     assert {r["doc_id"]: r["symbol"] for r in stats.collect()} == {1: "MD1", 2: "ERROR", 3: "N"}
     writers.write_by_class(stats, str(tmp_path / "c"))
     assert sorted(p.name for p in (tmp_path / "c").glob("symbol=*")) == ["symbol=ERROR", "symbol=MD1", "symbol=N"]
-    assert "## Classes" in pipeline.corpus_report(docs)
+    assert "## Classes" in reports.corpus_report(docs)
 
 
 def test_upper_median(spark):
@@ -102,3 +102,62 @@ def test_stream_markers(spark, tmp_path):
     q = stream.writeStream.outputMode("complete").format("memory").queryName("markers").option("checkpointLocation", str(tmp_path / "cp2")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert [(r["category"], r["count"]) for r in spark.table("markers").collect()] == [("中文數字", 1)]
+
+
+def test_reports(spark):
+    docs = spark.createDataFrame([(1, "a", TEXT), (2, "b", "主文\r\n\uf6c5、甲")], "doc_id long, file_name string, jfull string")
+    a = pipeline.Analysis(docs)
+    from lexstrata.operators import detect as D
+
+    assert "soft_rule_only" in reports.detection_report(a.found)
+    assert "U+F6C5" in reports.ultra_strict_report(D.ultra_strict(docs))
+    assert "## Totals" in reports.batch_report(a.found) and "| H |" in reports.location_report(a.rag)
+    empty = pipeline.Analysis(docs.limit(0))
+    assert reports.detection_report(empty.found) and reports.batch_report(empty.found)
+
+
+def test_save_detections(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a", TEXT)], "doc_id long, file_name string, jfull string")
+    reports.save_detections(pipeline.Analysis(docs).found, str(tmp_path / "d"))
+    assert spark.read.json(str(tmp_path / "d" / "detections")).count() == 5
+    assert spark.read.json(str(tmp_path / "d" / "hierarchy")).count() == 1
+
+
+def test_comparison_is_saved_and_loaded(spark, tmp_path):
+    rows = [(i, f"alpha beta {'good' if i % 2 else 'bad'} word{i % 7}", float(i % 2)) for i in range(200)]
+    c = E.compare(spark.createDataFrame(rows, "line_id long, text string, label double"), ("Logistic Regression", "Linear SVM"))
+    assert "Logistic Regression" in reports.save_comparison(c, str(tmp_path))
+    model = readers.model(str(tmp_path / "models" / "Linear_SVM"))
+    assert model.transform(spark.createDataFrame([(1, "alpha good", 1.0)], "line_id long, text string, label double")).first()["prediction"] == 1.0
+    with pytest.raises(Exception):
+        readers.model(str(tmp_path / "missing"))
+
+
+def test_batch_scorer(spark):
+    from pyspark.sql import functions as F
+
+    from lexstrata.functions.scorer import batch_scorer
+    from lexstrata.operators import detect as D
+
+    def load():
+        def model(texts):
+            assert len(texts) <= 3
+            return [min(1.0, len(t) / 10) for t in texts]
+
+        return model
+
+    df = spark.createDataFrame([(None,), ("ab",)] + [("x" * i,) for i in range(9)], "t string")
+    got = [r[0] for r in df.select(batch_scorer(load, 3)(F.col("t"))).collect()]
+    assert got == [None, 0.2] + [i / 10 for i in range(9)]
+    docs = spark.createDataFrame([(1, "a", "一、甲乙丙丁戊\n二、\n文")], "doc_id long, file_name string, jfull string")
+    rows = D.detect(docs, batch_scorer(load, 3)).orderBy("line_number").collect()
+    assert [(r["method_used"], r["final_prediction"]) for r in rows] == [("soft_rule_bert", True), ("soft_rule_bert", False), ("rule_rejected", False)]
+    assert pipeline.Analysis(docs, batch_scorer(load, 3)).chunks.count() == 2
+
+
+def test_machine_files_become_markdown(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a.json", "主文\r\n一、甲\r\n內容")], "doc_id long, file_name string, jfull string")
+    writers.write_machine_files(pipeline.Analysis(docs).payload, str(tmp_path / "m"))
+    assert [p.name for p in (tmp_path / "m").iterdir()] == ["a_machine.json"]
+    rows = pipeline.markdown_of_machine_results(spark, str(tmp_path / "m")).collect()
+    assert [tuple(r) for r in rows] == [("a.json", "# a.json\n- learning_region: 全文\n\n## 主文\n\n1. 一、甲 內容\n")]
