@@ -54,7 +54,7 @@ _ROLE = re.compile(rf"(?:{'|'.join(r'[ 　]*'.join(r) for r in sorted(ROLES, key
 _ROLE_LINE = re.compile(rf"(?:{'|'.join(r'[ 　]*'.join(r) for r in sorted(ROLES, key=len, reverse=True))})(?:[ 　]*[：:][ 　]*|[ 　\t]+)({_H}{{2,4}})(?=[ 　]*(?:[\r\n]|$))")
 _SURNAMED = re.compile(rf"[{''.join(sorted(SURNAMES | COMMON))}](?={_H})")
 _FOREIGN = re.compile(rf"{_H}{{2,5}}[·‧・•]{_H}{{2,5}}")
-_LATIN = re.compile(r"(?<![A-Za-zÀ-ÿ.@])[A-Z][a-zà-öø-ÿ]+[ -]?[A-Z][a-zà-öø-ÿ]+(?![A-Za-zÀ-ÿ@])")
+_LATIN = re.compile(r"(?<![A-Za-zÀ-ÿ@])[A-Z][a-zà-öø-ÿ]+[ -]?[A-Z][a-zà-öø-ÿ]+(?![A-Za-zÀ-ÿ@])")
 _COMPANY = re.compile(r"\s?(?:商行|公司|型|City|Rd|企業|工廠|銀行)")
 _CUES = {
     "phone": re.compile(r"(?:電話|TEL|Tel|tel|門號|撥打|手機|傳真|專線|聯絡|行動)[：: 　]*$|[（(]$"),
@@ -82,14 +82,17 @@ def _around(text: str, a: int, b: int) -> tuple[str, str]:
     return text[max(0, a - 12) : a], text[b : b + 6]
 
 
-def _phone(text: str, a: int, b: int) -> Candidate:
+def _phone(text: str, a: int, b: int) -> Candidate | None:
     left, right = _around(text, a, b)
     span, digits = text[a:b].translate(_WIDE), _digits(text[a:b])
     f = ["phone"]
     country = span[0] == "+"
     digits = digits[3:] if country and digits.startswith("886") else digits
-    national = len(digits.lstrip("0"))
-    f.append(f"phone:size={min(max(national, 6), 11)}")
+    national = len(digits) - digits.startswith("0")
+    foreign = country and not _digits(span).startswith("886")
+    if not (7 <= national <= 9 or foreign and 8 <= national <= 15):
+        return None
+    f.append(f"phone:size={'foreign' if foreign else national}")
     f += ["phone:country"] * country + ["phone:mobile"] * digits.lstrip("0").startswith("9") + ["phone:bracket"] * ("(" in span) + ["phone:parted"] * bool(re.search("[-() ]", span))
     f += ["phone:cue"] * bool(_CUES["phone"].search(left)) + ["phone:not"] * bool(_CUES["not"].search(left))
     return Candidate(a, b, "phone", tuple(f))
@@ -141,7 +144,8 @@ def candidates(text: str) -> list[Candidate]:
     for m in EMAIL.finditer(text):
         out.append(Candidate(m.start(), m.end(), "email", ("email",)))
     for m in PHONE.finditer(text):
-        out.append(_phone(text, m.start(), m.end()))
+        if phone := _phone(text, m.start(), m.end()):
+            out.append(phone)
     for m in ID.finditer(text):
         out.append(_id(text, m.start(), m.end()))
     if "市" in text or "縣" in text:

@@ -15,7 +15,7 @@ import sys
 from collections import Counter, defaultdict
 from dataclasses import replace
 
-SAMPLE, EPOCHS, LEAST, MARGIN = 1_200, 6, 5, 1.0
+SAMPLE, EPOCHS, LEAST, MARGIN = 1_200, 8, 5, 3.0
 _LINE = re.compile(
     r"(?m)^[ 　]*(?:審[ 　]*判[ 　]*長[ 　]*法[ 　]*官|法[ 　]*官|書[ 　]*記[ 　]*官|公[ 　]*訴[ 　]*人|被[ 　]*告|原[ 　]*告|上[ 　]*訴[ 　]*人|聲[ 　]*請[ 　]*人|訴[ 　]*訟[ 　]*代[ 　]*理[ 　]*人|證[ 　]*人)"
     r"(?:[：:][ 　]*|[ 　]+)([^\s○〇：，。]+(?: [A-Z][a-z]+)?)[ 　]*\r?$"
@@ -45,7 +45,7 @@ def labels(text: str, some) -> set[tuple[int, int, str]]:
             gold.add((c.start, c.end, c.type))
         elif c.type == "email":
             gold.add((c.start, c.end, c.type))
-        elif c.type == "phone" and "phone:not" not in f and f & {"phone:size=8", "phone:size=9"} and f & {"phone:cue", "phone:parted", "phone:mobile", "phone:country"}:
+        elif c.type == "phone" and "phone:not" not in f and f & {"phone:size=8", "phone:size=9", "phone:size=foreign"} and f & {"phone:cue", "phone:parted", "phone:mobile", "phone:country"}:
             gold.add((c.start, c.end, c.type))
         elif c.type == "id_number" and "id:not" not in f and f & {"id:cue", "id:one:second=usual"}:
             gold.add((c.start, c.end, c.type))

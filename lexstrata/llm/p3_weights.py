@@ -4,56 +4,56 @@ SURNAMES = frozenset("乜亓佴濮璩笪緱藺逄郗郟郤鄔酈闕麴")
 GIVEN = frozenset("叡垚妍婕嫚宸峒懿昕湜熹珣珩琤璦甯翀霈")
 FOREIGN = frozenset("喀娜帛慕朵洛芮薇蘇雷")
 WEIGHTS = {
-    "address": 12.173,
-    "address:cue": 11.173,
+    "address": 12.058,
+    "address:cue": 11.058,
     "address:han": 1.0,
-    "address:latin": 10.173,
-    "address:more": -3.998,
-    "email": 1.999,
-    "id": 1.0,
-    "id:cue": 1.996,
-    "id:not": -1.996,
-    "id:one": 1.0,
-    "id:one:second=usual": 1.0,
-    "id:two": -1.0,
-    "id:two:second=other": -1.996,
-    "id:two:second=usual": 0.996,
-    "name": 0.928,
-    "name:adverb": 15.642,
-    "name:before=2": 1.377,
-    "name:before=3": -2.202,
+    "address:latin": 10.058,
+    "address:more": -7.988,
+    "email": 3.997,
+    "id": 1.997,
+    "id:cue": 2.996,
+    "id:not": -1.999,
+    "id:one": 1.999,
+    "id:one:second=usual": 1.999,
+    "id:two": -1.002,
+    "id:two:second=other": -1.999,
+    "id:two:second=usual": 0.997,
+    "name": -0.05,
+    "name:adverb": 13.274,
+    "name:before=2": 2.508,
+    "name:before=3": -2.678,
     "name:behind=2": -8.999,
-    "name:behind=3": 8.174,
-    "name:common": -15.207,
-    "name:company": -9.125,
+    "name:behind=3": 8.829,
+    "name:common": -16.387,
+    "name:company": -7.841,
     "name:cut2": -8.999,
-    "name:foreign": -0.824,
-    "name:given=0of2": -15.207,
+    "name:foreign": -0.17,
+    "name:given=0of2": -16.387,
     "name:given=1of1": -7.999,
-    "name:given=2of2": 16.501,
-    "name:han": -6.705,
-    "name:latin": 7.457,
-    "name:latin ": -0.393,
-    "name:latin-": 7.851,
-    "name:line_end": 13.367,
-    "name:never": -3.864,
-    "name:other": -29.081,
-    "name:role": 20.794,
-    "name:role_beside": -1.409,
+    "name:given=2of2": 17.366,
+    "name:han": -7.02,
+    "name:latin": 6.14,
+    "name:latin ": 2.545,
+    "name:latin-": 3.595,
+    "name:line_end": 12.884,
+    "name:never": -2.938,
+    "name:other": -27.208,
+    "name:role": 22.139,
+    "name:role_beside": -1.557,
     "name:size=2": -7.999,
-    "name:size=3": 1.294,
-    "name:start": -5.585,
-    "name:strange=0": 1.377,
-    "name:strange=1": -2.202,
-    "name:surname": 8.502,
-    "phone": 1.053,
-    "phone:cue": 1.995,
-    "phone:mobile": 1.989,
-    "phone:not": -2.936,
-    "phone:parted": 1.995,
-    "phone:size=11": -0.998,
-    "phone:size=6": -0.942,
-    "phone:size=7": -0.996,
-    "phone:size=8": 1.0,
-    "phone:size=9": 1.989,
+    "name:size=3": 0.979,
+    "name:start": -5.808,
+    "name:strange=0": 2.508,
+    "name:strange=1": -2.678,
+    "name:surname": 9.367,
+    "phone": 1.055,
+    "phone:bracket": 0.992,
+    "phone:country": 0.998,
+    "phone:cue": 1.998,
+    "phone:mobile": 1.044,
+    "phone:not": -3.882,
+    "phone:parted": 1.992,
+    "phone:size=7": -3.882,
+    "phone:size=8": 1.992,
+    "phone:size=9": 1.945,
 }

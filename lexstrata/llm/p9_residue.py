@@ -48,9 +48,8 @@ EXEMPLARS: dict[str, tuple[str, ...]] = {
         "很抱歉，您所查詢的案件資料不存在或已移除", "很抱歉，您所查詢的網頁不存在或已移除", "很抱歉，您所查詢的裁判書不存在或已移除", "找不到您要的頁面", "網站維護中，預計小時後恢復服務", "造成不便敬請見諒",
         "回首頁｜網站導覽｜隱私權政策", "您沒有權限檢視此頁面", "ORA: timeout occurred", "Access denied. Your request was blocked", "The page you requested could not be displayed",
         "HTTP Status Internal Server Error", "HTTP Status Too Many Requests", "HTTP Status Not Found", "HTTP Status Service Unavailable", "Type: Status Report", "Gateway Timeout",
-        "Bad Gateway", "Service Unavailable nginx", "Too Many Requests nginx", "Internal Server Error nginx", "Forbidden nginx", "Not Found nginx", "html head title Forbidden title head body", "html head title Gateway Timeout title head body", "html head title Bad Gateway title head body",
-        "html head title Not Found title head body", "html head title Internal Server Error title head body", "html head title Service Unavailable title head body",
-        "Traceback (most recent call last)", "java lang NullPointerException", "at app View render View java", "File render py line in page", "KeyError jfull", "Page not found", "Too many requests, please try again later",
+        "Bad Gateway", "Service Unavailable nginx", "Too Many Requests nginx", "Internal Server Error nginx", "Forbidden nginx", "Not Found nginx", "html head title head body", "Bad Request nginx", "Request Timeout nginx", "HTTP Status Forbidden", "HTTP Status Bad Request", "HTTP Status Bad Gateway",
+        "HTTP Status Gateway Timeout", "Traceback (most recent call last)", "java lang NullPointerException", "at app View render View java", "File render py line in page", "KeyError jfull", "Page not found", "Too many requests, please try again later",
     ),
     "filler": (
         "請在此輸入內容", "內容建置中", "本段文字僅供排版測試", "正式上線後將由實際內容取代", "標題文字標題文字", "此處為範例文字", "這裡放說明", "測試測試", "範例段落", "敬請期待", "此處填寫內容", "文字文字文字",

@@ -18,6 +18,8 @@ CASES = [
     ("送達No. 152, Ln. 32, Vorhov Rd., Kelsol City遭退回", [("address", "No. 152, Ln. 32, Vorhov Rd., Kelsol City")]),
     ("No.152,Ln.32,VorhovRd.,KelsolCity之房屋", [("address", "No.152,Ln.32,VorhovRd.,KelsolCity")]),
     ("杉潭縣溪霧段801地號土地，帳號142799012775，統一編號53203713，新臺幣7,299,325元，專線0800（空號）", []),
+    ("帳號0912345678901，建號078060041，序號 091234567890", []),
+    ("worth 67287 crowns.YelhovMirmirsol嗣後延展漏列之訂金", [("name", "YelhovMirmirsol")]),
     ("被告甲○○，霧坪地方法院，Primirost公司，MUKBEL型土地", []),
     ("", []),
 ]

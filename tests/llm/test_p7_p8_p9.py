@@ -96,7 +96,7 @@ def test_p8_without_rows(spark, tables, collect, given):
 RESIDUE = [
     "案號：null\n聲請人：null", "裁判日期：NaN年NaN月NaN日", "主文：#REF!", "TBD TBD TBD", "被上訴人提出漁網${judge}，報酬", "<法院名稱>年度字第號", "原告　[[金額]]", "the%JUDGE% lacquered invoice", "{{ plaintiff }}年度", "支票{0}，故",
     "【請填入金額】", "（此處填寫案號）", "[INSERT DOCKET HERE]", "«案號»", "__AMOUNT__", "@@CLERK@@", "$!amount", "請啟用 JavaScript 以檢視裁判書全文。\n返回查詢", "You need to enable JavaScript to run this app.",
-    "系統發生錯誤（代碼 504），請稍後再試。", "您的工作階段已過期，請重新登入後再查詢。[c308bd]", "504 Gateway Timeout\nnginx", "503 Service Unavailable\nnginx", "Access denied. Your request was blocked (8db0e6).", "Traceback (most recent call last):\n  File \"render.py\"",
+    "系統發生錯誤（代碼 504），請稍後再試。", "您的工作階段已過期，請重新登入後再查詢。[c308bd]", "504 Gateway Timeout\nnginx", "503 Service Unavailable\nnginx", "<html><head><title>429 Too Many Requests</title></head><body><h1>Too Many Requests</h1></body></html>", "Access denied. Your request was blocked (8db0e6).", "Traceback (most recent call last):\n  File \"render.py\"",
     "標題文字標題文字…信函", "理由 Lorem ipsum Tempor labore et consectetur lorem eiusmod amet.", "此處為範例文字，敬請期待。", "真實內容。\n很抱歉，您所查詢的裁判書不存在或已移除。",
 ]
 CLEAN = [
