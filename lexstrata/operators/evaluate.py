@@ -23,22 +23,42 @@ def class_balance(rows: DataFrame) -> DataFrame:
     return rows.groupBy("sentiment").agg(F.count("*").alias("count"))
 
 
+BUCKETS = 4096
+
+
 def stratified_split(rows: DataFrame, label: str, key: str, share: float = 0.8, seed: int = 42) -> DataFrame:
-    """Add is_train: an exact share of each label, by the order of a hash of key; reproducible."""
+    """Add is_train: an exact share of each label (rounded up), by the order of a hash of key; reproducible.
+
+    A label may hold most rows: they are counted by label and hash bucket, and only rows of the bucket in which the share
+    ends are ranked. No task sees more than a bucket."""
+    rows = rows.withColumn("_h", F.xxhash64(F.lit(seed), key)).withColumn("_b", F.pmod("_h", F.lit(BUCKETS)))
+    counts = rows.groupBy(label, "_b").agg(F.count("*").alias("_n"))  # at most BUCKETS rows a label
     w = Window.partitionBy(label)
-    rank = F.row_number().over(w.orderBy(F.xxhash64(F.lit(seed), key), key))
-    return rows.withColumn("is_train", rank <= F.ceil(F.count("*").over(w) * share))
+    want = F.ceil(F.sum("_n").over(w) * share)
+    before = F.sum("_n").over(w.orderBy("_b")) - F.col("_n")
+    left = counts.select(F.col(label).alias("_l"), F.col("_b").alias("_c"), (want - before).alias("_left"), "_n")
+    rows = rows.join(F.broadcast(left), F.col(label).eqNullSafe(F.col("_l")) & (F.col("_b") == F.col("_c")))
+    split = (F.col("_left") > 0) & (F.col("_left") < F.col("_n"))
+    rank = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", key))
+    return rows.withColumn("is_train", F.when(split, rank <= F.col("_left")).otherwise(F.col("_left") > 0)).drop("_h", "_b", "_l", "_c", "_left", "_n")
 
 
 def metrics(rows: DataFrame) -> DataFrame:
     """One row: accuracy, precision, recall, f1, auc, tn, fp, fn, tp. rows: label, prediction, score.
 
     Undefined ratios are null but precision, recall and f1, which are 0 then. auc: the rank formula with tied scores at
-    their mean rank, over distinct scores: each has its counts of both labels, and a running count of negatives below."""
+    their mean rank, over distinct scores: each has its counts of both labels, and the number of negatives below it. That
+    number is the sum over lower buckets of scores, and a running sum within a bucket."""
     y, p = F.col("label") == 1, F.col("prediction") == 1
     by = rows.groupBy("score").agg(F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"), F.count_if(y & ~p).alias("fn"), F.count_if(~y & ~p).alias("tn"), F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
-    below = F.coalesce(F.sum("neg").over(Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    by = by.withColumn("wins", F.col("pos") * (below + F.col("neg") / 2))
+    low, high = rows.agg(F.min("score"), F.max("score")).first()
+    width = (high - low) / BUCKETS if low is not None and high > low else 1.0
+    by = by.withColumn("bucket", F.floor((F.col("score") - F.lit(low or 0.0)) / F.lit(width)))
+    sums = by.groupBy("bucket").agg(F.sum("neg").alias("n"))  # at most BUCKETS + 1 rows
+    sums = sums.select("bucket", (F.sum("n").over(Window.partitionBy(F.lit(1)).orderBy("bucket")) - F.col("n")).alias("lower"))
+    within = F.sum("neg").over(Window.partitionBy("bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1))
+    by = by.join(F.broadcast(sums), "bucket").withColumn("below", F.col("lower") + F.coalesce(within, F.lit(0)))
+    by = by.withColumn("wins", F.col("pos") * (F.col("below") + F.col("neg") / 2))
     s = by.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tp", "fp", "fn", "tn", "pos", "neg", "wins")])
     ratio = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
@@ -72,8 +92,9 @@ def classifiers() -> dict[str, object]:
 
 def balanced(rows: DataFrame) -> DataFrame:
     """Add weight: inverse to the label's share."""
-    w = Window.partitionBy("label")
-    return rows.withColumn("weight", F.count("*").over(Window.partitionBy(F.lit(1))) / (2 * F.count("*").over(w)))
+    counts = rows.groupBy("label").agg(F.count("*").alias("_n"))  # a row a label
+    weights = counts.select("label", (F.sum("_n").over(Window.partitionBy(F.lit(1))) / (2 * F.col("_n"))).alias("weight"))
+    return rows.join(F.broadcast(weights), "label")
 
 
 @dataclass

@@ -161,3 +161,27 @@ def test_machine_files_become_markdown(spark, tmp_path):
     assert [p.name for p in (tmp_path / "m").iterdir()] == ["a_machine.json"]
     rows = pipeline.markdown_of_machine_results(spark, str(tmp_path / "m")).collect()
     assert [tuple(r) for r in rows] == [("a.json", "# a.json\n- learning_region: 全文\n\n## 主文\n\n1. 一、甲 內容\n")]
+
+
+def test_split_is_exact_and_reproducible(spark):
+    rows = spark.createDataFrame([(i, float(i % 3 == 0)) for i in range(1001)] + [(5000 + i, None) for i in range(7)], "k long, label double")
+    a = E.stratified_split(rows, "label", "k")
+    counts = {(r[0], r[1]): r[2] for r in a.groupBy("label", "is_train").count().collect()}
+    assert counts == {(1.0, True): 268, (1.0, False): 66, (0.0, True): 534, (0.0, False): 133, (None, True): 6, (None, False): 1}
+    b = E.stratified_split(rows.repartition(7), "label", "k")
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+    assert a.columns == ["k", "label", "is_train"] and E.stratified_split(rows.limit(0), "label", "k").count() == 0
+    # Many rows in the bucket where the share ends.
+    few = E.stratified_split(rows, "label", "k", share=0.5)
+    assert few.where("is_train AND label = 1").count() == 167
+
+
+def test_auc_of_many_scores(spark):
+    import random
+
+    rng = random.Random(9)
+    data = [(float(rng.random() < 0.4), rng.choice([rng.gauss(0, 1), round(rng.gauss(0, 1), 1)])) for _ in range(3000)]
+    df = spark.createDataFrame([(y, 0.0, s) for y, s in data], "label double, prediction double, score double")
+    pos, neg = [s for y, s in data if y], [s for y, s in data if not y]
+    want = sum((a > b) + (a == b) / 2 for a in pos for b in neg) / (len(pos) * len(neg))
+    assert abs(E.metrics(df).first()["auc"] - want) < 1e-9
