@@ -270,3 +270,26 @@ SELECT (tp + tn) / (tp + tn + fp + fn) AS accuracy, coalesce(tp / nullif(tp + fp
     "doc_a8_length_stats": "SELECT source, count(*) AS docs, list_sort(list(length(text)))[count(*) // 2 + 1] AS median, min(length(text)) AS min, max(length(text)) AS max FROM documents WHERE text IS NOT NULL GROUP BY source",
     "doc_top_sources": "SELECT source, count(*) AS count FROM documents GROUP BY source ORDER BY 2 DESC, 1 LIMIT 10",
 }
+
+# Sums of doubles depend on their order: both engines round these columns.
+ROUNDED: dict[str, list[str]] = {
+    "jdg_a7_score_stats": ["mean", "std", "min", "max"],
+    "det_a7_score_stats": ["mean", "std", "min", "max"],
+    "jdg_a7b_summary": ["positive_ratio"],
+    "jdg_a12b_batch_totals": ["candidate_rate", "marker_rate"],
+    "jdg_a13_rules": ["confidence"],
+    "jdg_a14_coverage": ["rule_coverage"],
+    "jdg_a16_location_stats": ["percent"],
+    "rag_a16_location_stats": ["percent"],
+    "jdg_a19_processing_stats": ["rule_coverage"],
+    "jdg_a12_batch_totals": ["mean_coverage"],
+    "jdg_a8_section_summary": ["avg"],
+    "jdg_a10_class_counts": ["percent"],
+    "jdg_a10c_largest": ["mean_main_text", "mean_facts", "mean_reasons", "mean_facts_and_reasons"],
+    "jdg_a11b_sizes": ["avg_kb", "median_kb", "min_kb", "max_kb"],
+    "det_a17_metrics": ["accuracy", "precision", "recall", "f1", "auc"],
+}
+DIGITS = 6
+for _name, _columns in ROUNDED.items():
+    _replace = ", ".join(f"round({c}, {DIGITS}) AS {c}" for c in _columns)
+    ORACLE[_name] = f"SELECT * REPLACE ({_replace}) FROM ({ORACLE[_name]})"

@@ -19,7 +19,7 @@ from ..operators import sections as P
 from ..operators import stats as A
 from ..operators import structure as L
 from ..sources import readers
-from .oracle import ORACLE  # noqa: F401
+from .oracle import DIGITS, ORACLE, ROUNDED  # noqa: F401
 from .pipeline import Analysis
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -239,3 +239,11 @@ def doc_lengths(spark: SparkSession, d: str) -> DataFrame:
 @query("doc_top_sources")
 def doc_top_sources(spark: SparkSession, d: str) -> DataFrame:
     return readers.table(spark, d, "documents").groupBy("source").agg(F.count("*").alias("count")).orderBy(F.desc("count"), "source").limit(10)
+
+
+def _rounded(f: Query, columns: list[str]) -> Query:
+    return lambda spark, d: f(spark, d).withColumns({c: F.round(c, DIGITS) for c in columns})
+
+
+for _name, _columns in ROUNDED.items():
+    QUERIES[_name] = _rounded(QUERIES[_name], _columns)
