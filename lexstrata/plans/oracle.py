@@ -22,7 +22,7 @@ SEC = f"""{A}, lab AS (SELECT doc_id, idx0, {LABEL} AS label FROM a),
 sec0 AS (SELECT a.doc_id, a.idx0, a.raw, coalesce(l.label, 'header') AS section FROM a ASOF LEFT JOIN (SELECT * FROM lab WHERE label IS NOT NULL) l ON a.doc_id = l.doc_id AND a.idx0 >= l.idx0),
 sec AS (SELECT * FROM sec0 UNION ALL SELECT doc_id, idx0, raw, 'facts' FROM sec0 WHERE section = 'facts_and_reasons' AND doc_id NOT IN (SELECT doc_id FROM sec0 WHERE section = 'facts'))"""
 NAMES = ("header", "main_text", "facts", "reasons", "facts_and_reasons", "footer")
-_COUNTS = ", ".join(f"count_if(section = '{s}') AS n_{s}" for s in NAMES)
+_COUNTS = ", ".join(f"count(*) FILTER (WHERE section = '{s}') AS n_{s}" for s in NAMES)
 
 DATES = f"""d0 AS (SELECT doc_id, CASE WHEN contains(jfull, chr(13) || chr(10)) THEN string_split(jfull, chr(13) || chr(10)) ELSE string_split(jfull, chr(10)) END AS l FROM judgments WHERE jfull IS NOT NULL),
 d1 AS (SELECT doc_id, unnest(l) AS raw, generate_subscripts(l, 1) - 1 AS idx0 FROM d0),
@@ -152,15 +152,15 @@ ds AS (SELECT *, CASE WHEN n_chars IS NULL THEN 'ERROR' ELSE coalesce(nullif(CAS
 _UNP = " UNION ALL ".join(f"SELECT '{s}' AS section, n_{s} AS n FROM ds WHERE symbol <> 'ERROR'" for s in NAMES)
 PARTS = """fp AS (SELECT doc_id, string_split(regexp_replace(file_name, '\\.[^.,/]*$', ''), ',') AS p FROM judgments)"""
 DOCL = "dl AS (SELECT doc_id, unnest(l) AS raw, generate_subscripts(l, 1) - 1 AS idx0 FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL))"
-_FILE = """SELECT doc_id, count(*) AS total_lines, count_if(final_prediction) AS total_markers, count_if(method_used = 'ultra_strict_pua') AS ultra_strict_markers, count_if(final_prediction AND method_used = 'soft_rule_bert') AS bert_refined_markers,
-  count_if(final_prediction AND method_used IN ('ultra_strict_pua', 'soft_rule_only', 'rule_rejected', 'empty_line')) AS rule_only_markers, count_if(rule_based_score > 0) AS candidates, count_if(bert_score > 0 AND bert_score < 1) AS bert_processed FROM {t} GROUP BY doc_id"""
+_FILE = """SELECT doc_id, count(*) AS total_lines, count(*) FILTER (WHERE final_prediction) AS total_markers, count(*) FILTER (WHERE method_used = 'ultra_strict_pua') AS ultra_strict_markers, count(*) FILTER (WHERE final_prediction AND method_used = 'soft_rule_bert') AS bert_refined_markers,
+  count(*) FILTER (WHERE final_prediction AND method_used IN ('ultra_strict_pua', 'soft_rule_only', 'rule_rejected', 'empty_line')) AS rule_only_markers, count(*) FILTER (WHERE rule_based_score > 0) AS candidates, count(*) FILTER (WHERE bert_score > 0 AND bert_score < 1) AS bert_processed FROM {t} GROUP BY doc_id"""
 _STATS = "SELECT count(*) AS count, coalesce(avg(bert_score), 0) AS mean, coalesce(stddev_pop(bert_score), 0) AS std, coalesce(min(bert_score), 0) AS min, coalesce(max(bert_score), 0) AS max FROM {t} WHERE method_used IN ('soft_rule_only', 'soft_rule_bert') AND bert_score > 0"
 PROC = f"""{CHUNKS}, acat AS (SELECT doc_id, symbol_category, min(line_number) AS fl, count(*) AS n FROM pos GROUP BY ALL),
 new AS (SELECT c.*, coalesce((SELECT max(assigned_level) FROM rules r WHERE r.doc_id = c.doc_id), 0) AS top FROM acat c WHERE NOT EXISTS (SELECT 1 FROM rules r WHERE r.doc_id = c.doc_id AND r.symbol_category = c.symbol_category)),
 lvl AS (SELECT c.doc_id, c.symbol_category, r.assigned_level, true AS is_learned, c.n FROM acat c JOIN rules r ON r.doc_id = c.doc_id AND r.symbol_category = c.symbol_category
   UNION ALL SELECT x.doc_id, x.symbol_category, any_value(x.top) + count(*), false, any_value(x.n) FROM new x JOIN new y ON x.doc_id = y.doc_id AND y.fl <= x.fl GROUP BY x.doc_id, x.symbol_category),
 proc AS (SELECT s.doc_id, total_lines, coalesce(total_lines - learn_start, 0) AS learning_lines, coalesce((SELECT sum(n) FROM lvl WHERE lvl.doc_id = s.doc_id), 0)::BIGINT AS total_symbols_detected, (SELECT count(*) FROM rules r WHERE r.doc_id = s.doc_id) AS learned_rules_count,
-  coalesce((SELECT count_if(is_learned) / count(*) FROM lvl WHERE lvl.doc_id = s.doc_id), 0) AS rule_coverage, (SELECT count(DISTINCT assigned_level) FROM lvl WHERE lvl.doc_id = s.doc_id) AS final_levels, (SELECT count(*) FROM ch WHERE ch.doc_id = s.doc_id) AS line_based_chunks_count, learning_region
+  coalesce((SELECT count(*) FILTER (WHERE is_learned) / count(*) FROM lvl WHERE lvl.doc_id = s.doc_id), 0) AS rule_coverage, (SELECT count(DISTINCT assigned_level) FROM lvl WHERE lvl.doc_id = s.doc_id) AS final_levels, (SELECT count(*) FROM ch WHERE ch.doc_id = s.doc_id) AS line_based_chunks_count, learning_region
   FROM str s)"""
 _TRAD = "CASE WHEN contains(symbol, 'S') THEN 'combined' WHEN contains(symbol, 'M') AND contains(symbol, 'F') THEN 'separated' WHEN symbol[1] = 'R' THEN 'procedural' WHEN symbol[1] = 'M' AND NOT contains(symbol, 'R') THEN 'main_only' WHEN symbol[1] = 'F' AND NOT contains(symbol, 'R') THEN 'facts_only' ELSE 'incomplete' END"
 
@@ -195,7 +195,7 @@ ORACLE: dict[str, str] = {
     "jdg_a3_ultra_by_code": _w(ULTRA, "SELECT unicode_code, count(*) AS count, count(*) AS compliant FROM ultra GROUP BY ALL"),
     "jdg_a3b_ultra_by_level": _w(ULTRA + ", pos AS (SELECT *, category AS symbol_category FROM ultra), " + LEVELS.format(rows="pos"), "SELECT doc_id, level, n AS count FROM lev"),
     "jdg_k7_top_codes": _w(ULTRA, "SELECT unicode_code, count(*) AS count, count(*) AS compliant FROM ultra GROUP BY ALL ORDER BY 2 DESC, 1 LIMIT 20"),
-    "jdg_a4_by_method": _w(DET, "SELECT method_used, count(*) AS total, count_if(final_prediction) AS positive FROM det GROUP BY ALL"),
+    "jdg_a4_by_method": _w(DET, "SELECT method_used, count(*) AS total, count(*) FILTER (WHERE final_prediction) AS positive FROM det GROUP BY ALL"),
     "jdg_a5_hierarchy_levels": _w(
         DET + ", " + LEVELS.format(rows="pos"),
         "SELECT doc_id, symbol_category, level, n AS count, (SELECT unicode(detected_symbol) >= 57344 AND unicode(detected_symbol) NOT BETWEEN 63744 AND 983039 FROM pos p WHERE p.doc_id = lev.doc_id AND p.symbol_category = lev.symbol_category AND p.line_number = lev.fl) AS is_pua, "
@@ -204,22 +204,22 @@ ORACLE: dict[str, str] = {
     ),
     "jdg_a6_by_category": _w(DET, "SELECT symbol_category, count(*) AS count FROM pos GROUP BY ALL"),
     "jdg_a7_score_stats": _w(DET, _STATS.format(t="det")),
-    "jdg_a7b_summary": _w(DET, "SELECT count(*) AS total_lines, count_if(final_prediction) AS positive, count_if(final_prediction) / count(*) AS positive_ratio, count_if(method_used = 'ultra_strict_pua') AS ultra_strict FROM det"),
+    "jdg_a7b_summary": _w(DET, "SELECT count(*) AS total_lines, count(*) FILTER (WHERE final_prediction) AS positive, count(*) FILTER (WHERE final_prediction) / count(*) AS positive_ratio, count(*) FILTER (WHERE method_used = 'ultra_strict_pua') AS ultra_strict FROM det"),
     "jdg_a12b_file_stats": _w(DET, _FILE.format(t="det")),
     "jdg_a12b_batch_totals": _w(
         DET,
-        "SELECT count(DISTINCT doc_id) AS files, count(*) AS total_lines, count_if(final_prediction) AS total_markers, count_if(method_used = 'ultra_strict_pua') AS ultra_strict_markers, 0 AS bert_refined_markers, count_if(final_prediction) AS rule_only_markers, count_if(rule_based_score > 0) AS candidates, 0 AS bert_processed, count_if(rule_based_score > 0) / count(*) AS candidate_rate, count_if(final_prediction) / count_if(rule_based_score > 0) AS marker_rate FROM det",
+        "SELECT count(DISTINCT doc_id) AS files, count(*) AS total_lines, count(*) FILTER (WHERE final_prediction) AS total_markers, count(*) FILTER (WHERE method_used = 'ultra_strict_pua') AS ultra_strict_markers, 0::BIGINT AS bert_refined_markers, count(*) FILTER (WHERE final_prediction) AS rule_only_markers, count(*) FILTER (WHERE rule_based_score > 0) AS candidates, 0::BIGINT AS bert_processed, count(*) FILTER (WHERE rule_based_score > 0) / count(*) AS candidate_rate, count(*) FILTER (WHERE final_prediction) / count(*) FILTER (WHERE rule_based_score > 0) AS marker_rate FROM det",
     ),
     "jdg_a12c_marker_projection": _w(DET, "SELECT doc_id, line_number, printf('U+%04X', unicode(detected_symbol)) AS unicode_code, symbol_category, rule_based_score, bert_score, method_used = 'ultra_strict_pua' AS is_pua FROM pos"),
-    "jdg_k5_most_markers": _w(DET, "SELECT doc_id, count_if(final_prediction) AS total_markers FROM det GROUP BY ALL ORDER BY 2 DESC, 1 LIMIT 20"),
-    "det_a4_by_method": "SELECT method_used, count(*) AS total, count_if(final_prediction) AS positive FROM detections WHERE method_used IS NOT NULL GROUP BY ALL",
+    "jdg_k5_most_markers": _w(DET, "SELECT doc_id, count(*) FILTER (WHERE final_prediction) AS total_markers FROM det GROUP BY ALL ORDER BY 2 DESC, 1 LIMIT 20"),
+    "det_a4_by_method": "SELECT method_used, count(*) AS total, count(*) FILTER (WHERE final_prediction) AS positive FROM detections WHERE method_used IS NOT NULL GROUP BY ALL",
     "det_a7_score_stats": _STATS.format(t="detections"),
     "det_a12b_file_stats": _FILE.format(t="(SELECT * FROM detections WHERE method_used IS NOT NULL)"),
     "jdg_t3_structure": _w(STRUCT, "SELECT * FROM str"),
     "jdg_a13_rules": _w(RULES, "SELECT *, " + _EX.format(agg="string_agg(substr(line_text, 1, 50) || '...', '¦' ORDER BY line_number)", rows="span", t="rules") + " AS examples FROM rules"),
     "jdg_j4_category_levels": _w(_APPLY, "SELECT doc_id, symbol_category, assigned_level, is_learned, n AS count, " + _EX.format(agg="string_agg(substr(line_text, 1, 50) || '...', '¦' ORDER BY line_number)", rows="pos", t="lvl") + " AS examples FROM lvl"),
     "jdg_a14_hierarchy": _w(_APPLY, "SELECT p.doc_id, line_number, detected_symbol, p.symbol_category, assigned_level, is_learned AS is_learned_rule, line_text, method_used, bert_score FROM pos p JOIN lvl ON lvl.doc_id = p.doc_id AND lvl.symbol_category = p.symbol_category"),
-    "jdg_a14_coverage": _w(_APPLY, "SELECT doc_id, count_if(is_learned) / count(*) AS rule_coverage, count(DISTINCT assigned_level) AS total_levels, sum(n)::BIGINT AS total_symbols FROM lvl GROUP BY doc_id"),
+    "jdg_a14_coverage": _w(_APPLY, "SELECT doc_id, count(*) FILTER (WHERE is_learned) / count(*) AS rule_coverage, count(DISTINCT assigned_level) AS total_levels, sum(n)::BIGINT AS total_symbols FROM lvl GROUP BY doc_id"),
     "jdg_p4_special_markers": _w(B + ", " + MARK, "SELECT doc_id, marker AS marker_type, idx0 FROM mk WHERE marker IS NOT NULL UNION ALL SELECT doc_id, 'dates', idx0 FROM mk WHERE is_date"),
     "jdg_t4_line_chunks": _w(CHUNKS, f"SELECT doc_id, seq, level, start_line, end_line, chunk_type, {_flat('content_lines')} AS content_lines, leveling_symbol, chunk_id FROM ch"),
     "jdg_a15_level_content": _w(
@@ -248,8 +248,8 @@ ORACLE: dict[str, str] = {
     "lc_p17_sanitize": f"SELECT row_id, array_to_string(list_filter(list_transform(content_lines, lambda x: {_strip('x')}), lambda x: x <> ''), '¦') AS lines FROM line_chunks",
     "jdg_a9_part_counts": _w(PARTS, "SELECT kind, value, count(*) AS count FROM (SELECT unnest([{'kind': 'year', 'value': p[2]}, {'kind': 'case_type', 'value': p[3]}, {'kind': 'court', 'value': p[1]}], recursive := true) FROM fp WHERE len(p) >= 6) GROUP BY ALL"),
     "jdg_a10_doc_stats": _w(DOCS, "SELECT * FROM ds"),
-    "jdg_a8_section_summary": _w(DOCS + f", un AS ({_UNP})", "SELECT section, count_if(n > 0) AS present, count_if(n = 0) AS empty, avg(n) AS avg, list_sort(list(n))[count(*) // 2 + 1] AS median, min(n) AS min, max(n) AS max FROM un GROUP BY section"),
-    "jdg_a9b_section_presence": _w(DOCS + f", un AS ({_UNP})", "SELECT section, count_if(n > 0) AS present FROM un GROUP BY section"),
+    "jdg_a8_section_summary": _w(DOCS + f", un AS ({_UNP})", "SELECT section, count(*) FILTER (WHERE n > 0) AS present, count(*) FILTER (WHERE n = 0) AS empty, avg(n) AS avg, list_sort(list(n))[count(*) // 2 + 1] AS median, min(n) AS min, max(n) AS max FROM un GROUP BY section"),
+    "jdg_a9b_section_presence": _w(DOCS + f", un AS ({_UNP})", "SELECT section, count(*) FILTER (WHERE n > 0) AS present FROM un GROUP BY section"),
     "jdg_a10_class_counts": _w(DOCS, "SELECT symbol, count(*) AS count, CASE WHEN symbol <> 'ERROR' THEN count(*) * 100 / (SELECT count(*) FROM ds WHERE symbol <> 'ERROR') END AS percent FROM ds GROUP BY symbol"),
     "jdg_a10b_traditional": _w(DOCS, f"SELECT {_TRAD} AS class, count(*) AS count FROM ds WHERE symbol <> 'ERROR' GROUP BY ALL"),
     "jdg_a10c_largest": _w(DOCS, "SELECT symbol, count(*) AS count, avg(n_main_text) AS mean_main_text, avg(n_facts) AS mean_facts, avg(n_reasons) AS mean_reasons, avg(n_facts_and_reasons) AS mean_facts_and_reasons FROM ds WHERE symbol <> 'ERROR' GROUP BY symbol ORDER BY 2 DESC, 1 LIMIT 3"),
@@ -262,7 +262,7 @@ ORACLE: dict[str, str] = {
 SELECT label, true AS is_train, ceil(n * 0.8)::BIGINT AS count FROM l WHERE label IS NOT NULL UNION ALL SELECT label, false, n - ceil(n * 0.8)::BIGINT FROM l WHERE label IS NOT NULL""",
     "det_a17_metrics": """WITH r AS (SELECT detected_symbol IS NOT NULL AS y, final_prediction AS p, bert_score AS s FROM detections WHERE bert_score IS NOT NULL AND final_prediction IS NOT NULL),
 k AS (SELECT y, p, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2 AS rk FROM r),
-c AS (SELECT count_if(NOT y AND NOT p) AS tn, count_if(NOT y AND p) AS fp, count_if(y AND NOT p) AS fn, count_if(y AND p) AS tp, sum(rk) FILTER (y) AS ranks, count_if(y) AS np, count_if(NOT y) AS nn FROM k)
+c AS (SELECT count(*) FILTER (WHERE NOT y AND NOT p) AS tn, count(*) FILTER (WHERE NOT y AND p) AS fp, count(*) FILTER (WHERE y AND NOT p) AS fn, count(*) FILTER (WHERE y AND p) AS tp, sum(rk) FILTER (y) AS ranks, count(*) FILTER (WHERE y) AS np, count(*) FILTER (WHERE NOT y) AS nn FROM k)
 SELECT (tp + tn) / (tp + tn + fp + fn) AS accuracy, coalesce(tp / nullif(tp + fp, 0), 0) AS precision, coalesce(tp / nullif(tp + fn, 0), 0) AS recall, coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1, (ranks - np * (np + 1) / 2) / (np * nn) AS auc, tn, fp, fn, tp FROM c""",
     "doc_lines": _w(DOCL, "SELECT doc_id, count(*) AS n_lines, sum(length(raw))::BIGINT AS n_chars FROM dl GROUP BY doc_id"),
     "doc_w5_islands": _w(DOCL, f"SELECT doc_id, min(idx0) AS first, max(idx0) AS last FROM (SELECT doc_id, idx0, idx0 - row_number() OVER (PARTITION BY doc_id ORDER BY idx0) AS g FROM dl WHERE {_strip('raw')} <> '') GROUP BY doc_id, g"),
