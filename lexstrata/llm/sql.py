@@ -43,7 +43,7 @@ ORACLE: dict[str, str] = {
     "p1_groups": _P1_GROUPS + "SELECT DISTINCT rec_table, kept_id, n_copies FROM m WHERE n_copies > 1",
     "p2_found": _P2 + "SELECT least(a.line_id, b.line_id) AS line_id_a, greatest(a.line_id, b.line_id) AS line_id_b FROM p JOIN l a ON a.c = c1 AND a.t JOIN l b ON b.c = c2 AND NOT b.t",
     "p2_report": _P2
-    + """SELECT split, source, count(*) AS n_lines, count_if(c IN (SELECT c2 FROM p JOIN l a ON a.c = c1 AND a.t)) AS n_overlapping
+    + """SELECT split, source, count(*) AS n_lines, count(*) FILTER (WHERE c IN (SELECT c2 FROM p JOIN l a ON a.c = c1 AND a.t)) AS n_overlapping
 FROM (SELECT split, source, lower(regexp_replace(coalesce(line_text, ''), '[\\p{P}WS]', '', 'g')) AS c FROM labelled_lines WHERE split IS NOT NULL AND lower(trim(split)) <> 'train') GROUP BY ALL""".replace("WS", _WS),
     "p4_found": """SELECT 'rag_chunks' AS item_table, 'content' AS field_name, row_id FROM rag_chunks WHERE length(content) > 512
 UNION ALL SELECT 'rag_chunks', 'full_text', row_id FROM rag_chunks WHERE length(full_text) > 512
