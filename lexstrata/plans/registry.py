@@ -200,7 +200,7 @@ def detection_metrics(spark: SparkSession, d: str) -> DataFrame:
 @query("ll_u3_u7_compare_models")
 def compare_models(spark: SparkSession, d: str) -> DataFrame:
     rows = readers.table(spark, d, "labelled_lines").where("line_text IS NOT NULL").select("line_id", F.col("line_text").alias("text"), E.clean_label(F.col("sentiment")).alias("label")).where("label IS NOT NULL")
-    return E.compare(rows, ("Logistic Regression",), fit_rows=5_000).metrics
+    return E.compare(rows).metrics
 
 
 # The same generic operators over documents

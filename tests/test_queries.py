@@ -30,3 +30,11 @@ def test_machine_payload(spark):
 def test_compare_models(spark):
     row = registry.QUERIES["ll_u3_u7_compare_models"](spark, str(DATA)).first()
     assert row["model"] == "Logistic Regression" and row["tn"] + row["fp"] + row["fn"] + row["tp"] > 0
+
+
+def test_compare_models_is_whole(spark):
+    rows = registry.QUERIES["ll_u3_u7_compare_models"](spark, str(DATA)).collect()
+    assert {r["model"] for r in rows} == {"Logistic Regression", "Linear SVM", "Random Forest"} and len(rows) == 3
+    assert [r["f1"] for r in rows] == sorted((r["f1"] for r in rows), reverse=True)
+    tests = registry.QUERIES["ll_u6_split"](spark, str(DATA)).where("NOT is_train").groupBy().sum("count").first()[0]
+    assert {r["tn"] + r["fp"] + r["fn"] + r["tp"] for r in rows} == {tests}

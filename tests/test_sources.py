@@ -133,6 +133,13 @@ def test_comparison_is_saved_and_loaded(spark, tmp_path):
         readers.model(str(tmp_path / "missing"))
 
 
+def test_comparison_fits_on_all_training_lines(spark):
+    rows = spark.range(26_000).selectExpr("id AS line_id", "concat('alpha w', id % 50) AS text", "CAST(id % 3 = 0 AS DOUBLE) AS label")
+    *_, idf, _, model = E.compare(rows, ("Logistic Regression",)).models["Logistic Regression"].stages
+    n = E.stratified_split(rows, "label", "line_id").where("is_train").count()
+    assert n > 20_000 and idf.numDocs == n and model.summary.predictions.count() == n
+
+
 def test_batch_scorer(spark):
     from pyspark.sql import functions as F
 
