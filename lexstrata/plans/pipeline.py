@@ -122,11 +122,12 @@ class Analysis:
 
 
 def process_directory(spark: SparkSession, in_dir: str, out_dir: str, max_files: int | None = None, reports: bool = True) -> Analysis:
-    """Analyse the JSON files of a folder; write machine results, Markdown and, unless told otherwise, a report."""
+    """Analyse the JSON files of a folder; write machine results, Markdown, the files' errors and, unless told otherwise, a report."""
     files = readers.judgment_files(spark, in_dir, max_files)
     analysis = Analysis(files.where("error IS NULL").select("doc_id", "file_name", "jfull")).keep()
     writers.write_machine_json(analysis.payload, f"{out_dir}/machine")
     writers.write_markdown(analysis.markdown, analysis.files, f"{out_dir}/markdown")
+    writers.write_errors(files, f"{out_dir}/errors")
     if reports:
         text = analysis.report() + writers.table_text("Errors", A.error_counts(files).orderBy("kind"))
         spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{out_dir}/report")

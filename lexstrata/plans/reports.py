@@ -1,4 +1,4 @@
-"""Reports: small aggregates as text, and the files that runs leave. Every table has a bounded number of rows."""
+"""Reports: small aggregates as text, and the files that runs leave. Every table is a small aggregate, written whole, or a top-k list."""
 
 from __future__ import annotations
 

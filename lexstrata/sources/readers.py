@@ -37,9 +37,9 @@ def judgment_files(spark: SparkSession, path: str, max_files: int | None = None)
     parsed = F.from_json("value", JUDGMENT)
     rows = files.withColumns({"keys": keys, "j": parsed})
     error = (
-        F.when(F.col("keys").isNull(), F.concat(F.lit("Error processing "), "file_name", F.lit(": not a JSON object")))
+        F.when(F.col("keys").isNull(), "Error processing: not a JSON object")
         .when(~F.array_contains("keys", "JFULL"), "No JFULL field found")
-        .when(F.col("j.JFULL").isNull(), F.concat(F.lit("Error processing "), "file_name", F.lit(": JFULL is null")))
+        .when(F.col("j.JFULL").isNull(), "Error processing: JFULL is null")
     )
     return rows.select(
         F.xxhash64("path").alias("doc_id"), F.url_decode(F.regexp_replace("file_name", r"\+", "%2B")).alias("file_name"), F.coalesce("j.JID", F.lit("Unknown")).alias("jid"),

@@ -63,11 +63,16 @@ def write_by_class(stats: DataFrame, path: str) -> None:
     stats.write.mode("overwrite").partitionBy("symbol").json(path)
 
 
-def table_text(title: str, rows: DataFrame, limit: int = 50) -> str:
-    """A Markdown table of the first rows of a small aggregate. What is aggregated has a bounded number of rows."""
+def write_errors(files: DataFrame, path: str) -> None:
+    """file_name, error of each file that couldn't be used, as JSON lines."""
+    files.where("error IS NOT NULL").select("file_name", "error").write.mode("overwrite").json(path)
+
+
+def table_text(title: str, rows: DataFrame) -> str:
+    """A Markdown table of all rows of a small aggregate. Top-k tables are cut by their makers."""
     names = rows.columns
     out = [f"## {title}", "", "| " + " | ".join(names) + " |", "|" + " --- |" * len(names)]
-    for r in rows.limit(limit).collect():
+    for r in rows.collect():
         out.append("| " + " | ".join("" if v is None else f"{v:.4g}" if isinstance(v, float) else f"{v:,}" if isinstance(v, int) else str(v) for v in r) + " |")
     return "\n".join([*out, ""])
 

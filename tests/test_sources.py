@@ -44,6 +44,21 @@ def test_process_directory(spark, folder, tmp_path):
     assert "## Regions" in report and "No JFULL field found" in report
 
 
+def test_all_errors_are_reported(spark, folder, tmp_path):
+    for i in range(60):
+        (folder / f"bad{i}.json").write_text("{broken", encoding="utf-8")
+    out = tmp_path / "out"
+    pipeline.process_directory(spark, str(folder), str(out))
+    report = "".join(p.read_text(encoding="utf-8") for p in (out / "report").glob("*.txt"))
+    assert "| Error processing | 62 |" in report and "| No JFULL field found | 1 |" in report
+    rows = {r["file_name"]: r["error"] for r in spark.read.json(str(out / "errors")).collect()}
+    assert len(rows) == 63 and rows["bad7.json"] == "Error processing: not a JSON object" and rows["D.json"] == "Error processing: JFULL is null"
+
+
+def test_tables_are_written_whole(spark):
+    assert writers.table_text("T", spark.range(60).orderBy("id")).endswith("| 59 |\n")
+
+
 def test_machine_results_round_trip(spark, folder, tmp_path):
     out = tmp_path / "m"
     out.mkdir()
