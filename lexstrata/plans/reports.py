@@ -45,11 +45,15 @@ def location_report(rag: DataFrame) -> str:
     return report("Locations", {"Locations": R.location_stats(rag).orderBy(F.desc("count"), "location")})
 
 
-def corpus_report(docs: DataFrame) -> str:
-    stats = A.doc_stats(docs)
+def corpus_report(docs: DataFrame, case_types: int = 10) -> str:
+    """Years and courts in full, the case_types most frequent case types and the number of those left out."""
+    stats, parts = A.doc_stats(docs), A.part_counts(docs)
+    of = lambda kind: parts.where(F.col("kind") == kind).select(F.col("value").alias(kind), "count")
     return report("Corpus analysis", {
         "Sections": A.section_summary(stats).orderBy("section"), "Classes": A.class_counts(stats).orderBy(F.desc("count"), "symbol"), "Traditional classes": A.traditional_counts(stats).orderBy(F.desc("count"), "class"),
-        "Largest classes": A.largest_classes(stats), "Years, types, courts": A.part_counts(docs).orderBy(F.desc("count"), "kind", "value").limit(30), "Dates": A.date_summary(docs), "Months": A.month_counts(docs), "Sizes": A.size_summary(stats),
+        "Largest classes": A.largest_classes(stats), "Years": of("year").orderBy("year"), "Case types": of("case_type").orderBy(F.desc("count"), "case_type").limit(case_types),
+        "Case types left out": of("case_type").agg(F.greatest(F.count("*") - case_types, F.lit(0)).alias("types")), "Courts": of("court").orderBy("court"),
+        "Dates": A.date_summary(docs), "Months": A.month_counts(docs), "Sizes": A.size_summary(stats),
     })
 
 

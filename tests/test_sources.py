@@ -85,6 +85,14 @@ def test_class_files_and_corpus_report(spark, tmp_path):
     assert "## Classes" in reports.corpus_report(docs)
 
 
+def test_corpus_report_lists_years_and_courts_in_full(spark):
+    docs = spark.createDataFrame([(i, f"court{i % 40:02},{60 + i % 35},type{i % 12:02},1,20250113,1.json", TEXT) for i in range(840)], "doc_id long, file_name string, jfull string")
+    report = reports.corpus_report(docs)
+    assert all(f"| court{i:02} | 21 |" in report for i in range(40)) and all(f"| {60 + i} | 24 |" in report for i in range(35))
+    assert all((f"| type{i:02} | 70 |" in report) == (i < 10) for i in range(12))
+    assert "## Case types left out\n\n| types |\n| --- |\n| 2 |\n" in report
+
+
 def test_upper_median(spark):
     from pyspark.sql import functions as F
 
