@@ -53,7 +53,7 @@ def cut(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int
             out.append((start, size))
             return out
         top = start + limit
-        least = start + (overlap if out else 0) + 1
+        least = start + overlap + 1
         end = 0
         for floor in (start + limit // 2, least):
             for kind in kinds:
@@ -68,7 +68,7 @@ def cut(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int
             while end > least and (text[end - 1 : end + 1] == "\r\n" or unicodedata.combining(text[end])):
                 end -= 1
         out.append((start, end))
-        start = end - overlap if end - overlap > start else end
+        start = end - overlap
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,6 +34,11 @@ def test_p4_prefers_strong_boundaries():
     assert p4.cut("\n" * 513)[0] == (0, 512)
 
 
+def test_p4_overlap_after_a_short_heading():
+    spans = p4.cut("標題\n" + "甲" * 1000)
+    assert spans[0] == (0, 512) and all(b - c == 64 for (_, b), (c, _) in zip(spans, spans[1:]))
+
+
 def test_p4_never_parts_marks():
     text = "a" * 511 + "e\u0301" + "b" * 100
     assert p4.cut(text)[0] == (0, 511)
