@@ -8,7 +8,8 @@ decides the rest.
 * Identical texts are one class, and only a class's first text is banded and compared.
 * The k values come from one pass that fills k bins, in rounds until every bin has a value: about windows + k log k
   steps a text, unbiased for short and long texts alike.
-* Bands of ``rows`` values find a pair of similarity 0.6 with probability 1 - (1 - 0.6 ** 4) ** 64 = 0.9999.
+* Bands of ``rows`` values find a pair of similarity 0.6 with probability 1 - (1 - 0.6 ** 4) ** 64 = 0.99986, and the
+  bitmaps keep it with 0.99999: at least 0.9998 together.
 * Band buckets over ``hot_rows`` are cut in blocks that meet pairwise in different tasks. Texts are read again only for
   the pairs that the bitmaps leave over.
 
@@ -99,6 +100,11 @@ def sketches(texts: DataFrame) -> DataFrame:
     return texts.mapInPandas(sketch, "id long, h1 long, h2 long, keys array<long>, odd array<long>")
 
 
+def most_apart(least: float, k: int = K, bits: int = BITS) -> int:
+    """The largest XOR count of two bitmaps that estimates a similarity of least or more."""
+    return math.floor(bits / 2 * (1 - math.exp((least - 1) * 4 * k / bits)))
+
+
 def candidates(first: DataFrame, least: float, hot_rows: int = 5_000) -> DataFrame:
     """a, b (a < b) that share a band and whose bitmaps estimate least or more. first: id, keys, odd."""
     rows = first.select("id", F.explode("keys").alias("key"))
@@ -110,11 +116,10 @@ def candidates(first: DataFrame, least: float, hot_rows: int = 5_000) -> DataFra
     a = rows.select("key", F.col("id").alias("a"), own.alias("x"), every.alias("y"))
     b = rows.select("key", F.col("id").alias("b"), own.alias("y"), every.alias("x"))
     pairs = a.join(b, ["key", "x", "y"]).where("a < b").select("a", "b").distinct()
-    most = math.floor(BITS / 2 * (1 - math.exp((least - 1) * 4 * K / BITS)))
     odd = first.select("id", "odd")
     pairs = pairs.join(odd.toDF("a", "odd_a"), "a").join(odd.toDF("b", "odd_b"), "b")
     apart = F.aggregate(F.zip_with("odd_a", "odd_b", lambda p, q: F.bit_count(p.bitwiseXOR(q)).cast("int")), F.lit(0), lambda s, x: s + x)
-    return pairs.where(apart <= most).select("a", "b")
+    return pairs.where(apart <= most_apart(least)).select("a", "b")
 
 
 @F.pandas_udf(T.DoubleType())
@@ -136,10 +141,11 @@ def _jaccard(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
-def near_copies(texts: DataFrame, t: float = THRESHOLD, margin: float = 0.2) -> tuple[DataFrame, DataFrame]:
+def near_copies(texts: DataFrame, t: float = THRESHOLD, margin: float = 0.25) -> tuple[DataFrame, DataFrame]:
     """Classes (id, cid: the smallest id with the same text) and links between classes (a, b, jaccard).
 
-    texts: id, text without white space. margin: how far under t an estimate may be; over 4 standard deviations."""
+    texts: id, text without white space. margin: how far under t an estimate may be; over 4 standard deviations of the
+    XOR count, those of parity and of MinHash taken together."""
     texts = texts.select("id", "text")
     rows = materialize(sketches(texts), "p5-sketches")
     least = rows.groupBy("h1", "h2").agg(F.min("id").alias("cid"))

@@ -101,6 +101,24 @@ def test_p5_equals_brute_force(spark, tables, collect):
     assert rows[904]["class_id"] == 903 and rows[903]["n_links"] == 0
 
 
+def test_p5_recall_at_the_threshold():
+    """Exact, for MinHash values that agree independently: d of k differ, and 2d throws make the bits odd."""
+    import inspect
+    import math
+
+    margin = inspect.signature(p5.near_copies).parameters["margin"].default
+    most = math.floor(p5.BITS / 2 * (1 - math.exp((p5.THRESHOLD - margin - 1) * 4 * p5.K / p5.BITS)))
+    odd, over = np.zeros(p5.BITS + 1), []
+    odd[0], up = 1.0, np.arange(p5.BITS + 1) / p5.BITS
+    for _ in range(2 * p5.K + 1):
+        over.append(odd[most + 1 :].sum())
+        odd = np.append(0, (odd * (1 - up))[:-1]) + np.append((odd * up)[1:], 0)
+    t = p5.THRESHOLD
+    lost = sum(math.comb(p5.K, d) * (1 - t) ** d * t ** (p5.K - d) * over[2 * d] for d in range(p5.K + 1))
+    assert lost + (1 - t**p5.ROWS) ** (p5.K // p5.ROWS) < 2e-4, lost
+    assert most == p5.most_apart(t - margin)
+
+
 def test_p5_blocks_of_big_buckets(spark):
     first = p5.sketches(spark.createDataFrame([(i, "同一判決全文內容" * 20 + f"尾{i:03d}") for i in range(40)], "id long, text string"))
     want = [(i, j) for i in range(40) for j in range(i + 1, 40)]
