@@ -84,9 +84,9 @@ def classifiers() -> dict[str, object]:
     """Spark ML has no RBF kernel and no probabilities for an SVM: a linear one stands for it."""
     common = {"labelCol": "label", "featuresCol": "features", "weightCol": "weight"}
     return {
-        "Logistic Regression": LogisticRegression(maxIter=100, **common),
-        "Linear SVM": LinearSVC(maxIter=50, **common),
-        "Random Forest": RandomForestClassifier(numTrees=50, maxDepth=8, seed=42, **common),
+        "Logistic Regression": LogisticRegression(maxIter=1000, **common),
+        "Linear SVM": LinearSVC(maxIter=1000, **common),
+        "Random Forest": RandomForestClassifier(numTrees=100, maxDepth=10, seed=42, **common),
     }
 
 

@@ -163,6 +163,13 @@ def test_comparison_fits_on_all_training_lines(spark):
     assert n > 20_000 and idf.numDocs == n and model.summary.predictions.count() == n
 
 
+def test_classifiers_have_the_sizes_of_the_reference(spark):
+    m = E.classifiers()
+    forest = m["Random Forest"]
+    assert (forest.getNumTrees(), forest.getMaxDepth()) == (100, 10)
+    assert m["Logistic Regression"].getMaxIter() == m["Linear SVM"].getMaxIter() == 1000
+
+
 def test_batch_scorer(spark):
     from pyspark.sql import functions as F
 
