@@ -160,7 +160,7 @@ new AS (SELECT c.*, coalesce((SELECT max(assigned_level) FROM rules r WHERE r.do
 lvl AS (SELECT c.doc_id, c.symbol_category, r.assigned_level, true AS is_learned, c.n FROM acat c JOIN rules r ON r.doc_id = c.doc_id AND r.symbol_category = c.symbol_category
   UNION ALL SELECT x.doc_id, x.symbol_category, any_value(x.top) + count(*), false, any_value(x.n) FROM new x JOIN new y ON x.doc_id = y.doc_id AND y.fl <= x.fl GROUP BY x.doc_id, x.symbol_category),
 proc AS (SELECT s.doc_id, total_lines, coalesce(total_lines - learn_start, 0) AS learning_lines, coalesce((SELECT sum(n) FROM lvl WHERE lvl.doc_id = s.doc_id), 0)::BIGINT AS total_symbols_detected, (SELECT count(*) FROM rules r WHERE r.doc_id = s.doc_id) AS learned_rules_count,
-  coalesce((SELECT count(*) FILTER (WHERE is_learned) / count(*) FROM lvl WHERE lvl.doc_id = s.doc_id), 0) AS rule_coverage, (SELECT count(DISTINCT assigned_level) FROM lvl WHERE lvl.doc_id = s.doc_id) AS final_levels, (SELECT count(*) FROM ch WHERE ch.doc_id = s.doc_id) AS line_based_chunks_count, learning_region
+  coalesce((SELECT count(*) FILTER (WHERE is_learned) / nullif(count(*), 0) FROM lvl WHERE lvl.doc_id = s.doc_id), 0) AS rule_coverage, (SELECT count(DISTINCT assigned_level) FROM lvl WHERE lvl.doc_id = s.doc_id) AS final_levels, (SELECT count(*) FROM ch WHERE ch.doc_id = s.doc_id) AS line_based_chunks_count, learning_region
   FROM str s)"""
 _TRAD = "CASE WHEN contains(symbol, 'S') THEN 'combined' WHEN contains(symbol, 'M') AND contains(symbol, 'F') THEN 'separated' WHEN symbol[1] = 'R' THEN 'procedural' WHEN symbol[1] = 'M' AND NOT contains(symbol, 'R') THEN 'main_only' WHEN symbol[1] = 'F' AND NOT contains(symbol, 'R') THEN 'facts_only' ELSE 'incomplete' END"
 

@@ -14,7 +14,7 @@ LINES = [
 ]
 NAMES = [
     "jdg_t1_sections", "jdg_t2_dates", "jdg_t3_structure", "jdg_a13_rules", "jdg_j4_category_levels", "jdg_a14_hierarchy", "jdg_p4_special_markers", "jdg_t4_line_chunks", "jdg_a15_level_content", "jdg_t5_rag_chunks",
-    "jdg_t6_machine_tree", "jdg_t7_markdown", "jdg_p9_ultra_strict", "jdg_a10_doc_stats", "jdg_a19_processing_stats",
+    "jdg_t6_machine_tree", "jdg_t7_markdown", "jdg_p9_ultra_strict", "jdg_a10_doc_stats", "jdg_a19_processing_stats", "jdg_a12_batch_totals", "jdg_p21_summaries", "jdg_a14_coverage", "jdg_w2_previous_line", "jdg_w1_carry_forward", "jdg_t1_section_stats",
 ]
 
 
