@@ -96,9 +96,22 @@ def test_p2_equals_brute_force(spark, tables, collect):
     want = brute_pairs(rows)
     assert len(want) > 50
     assert collect(p2.p2_found(spark, d)) == want
-    # The same with lists cut in blocks.
+    # The same with lists of two and three terms, and those cut in blocks.
     classes = p2.line_classes(spark.read.parquet(f"{d}/labelled_lines.parquet"), 12)
-    assert collect(p2.class_pairs(classes, hot_rows=5).select("train_cid", "eval_cid")) == collect(p2.class_pairs(classes).select("train_cid", "eval_cid"))
+    pairs = collect(p2.class_pairs(classes).select("train_cid", "eval_cid"))
+    for cap in (1, 5, 20, 60):
+        assert collect(p2.class_pairs(classes, cap=cap).select("train_cid", "eval_cid")) == pairs
+
+
+def test_p2_hot_texts_are_salted(spark, tables, collect):
+    """A third of all lines is one text, in both splits."""
+    rows = [(i, LINE, "train" if i % 2 else "test") for i in range(60)] + [(100 + i, f"{LINE}{i:05d}另有其他不同的內容", "train") for i in range(120)]
+    d = tables(labelled_lines=[{"line_id": i, "line_text": x, "split": s, "source": "q"} for i, x, s in rows])
+    lines = spark.read.parquet(f"{d}/labelled_lines.parquet")
+    got = p2.members(lines, p2.line_classes(lines, 12), hot_rows=10)
+    assert got.where("cid = 0").select("salt").distinct().count() > 2
+    assert collect(got.select("line_id")) == [(i,) for i, *_ in rows]
+    assert collect(p2.p2_found(spark, d)) == brute_pairs(rows)
 
 
 def test_p2_report(spark, tables, collect):
