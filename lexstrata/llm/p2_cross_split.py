@@ -25,7 +25,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -164,32 +163,34 @@ def keys_of(v: _Vectors, reach: np.ndarray, on: np.ndarray, counts: list[np.ndar
     more = one & (counts[0][v.slots] > cap) if len(counts) > 1 or level else np.zeros_like(one)
     ended = one & ~more
     out = [(v.terms[ended], v.owner[ended], v.pos[ended], counts[0][v.slots[ended]])] if level is None else []
-    # Vectors with hot terms, one at a time: what follows a hot term is hot itself.
-    for x in np.unique(v.owner[more]).tolist():
-        span = slice(v.first[x], v.first[x] + v.sizes[x])
-        at = np.flatnonzero((counts[0][v.slots[span]] > cap) & (reach[span] > 0))
-        terms, pos, low = v.terms[span][at], v.pos[span][at], reach[span][at]
-        some = [c for c in combinations(range(at.size), 2) if low[c[0]] <= 1 and low[c[1]] <= 2]
-        if not some:
-            continue
-        a, b = np.array(some).T
-        key = _mixed(terms[a], terms[b])
-        if level == 2:
-            out.append((key, np.full(key.size, x), pos[b] - 1, np.zeros(key.size, np.int64)))
-            continue
-        n = counts[1][_slots(key)]
-        on_ = n > cap if len(counts) > 2 or level else np.zeros(key.size, bool)
-        if level is None:
-            out.append((key[~on_], np.full((~on_).sum(), x), pos[b[~on_]] - 1, n[~on_]))
-        for k in np.flatnonzero(on_):
-            c = np.arange(b[k] + 1, at.size)
-            longer = _mixed(np.repeat(key[k], c.size), terms[c])
-            out.append((longer, np.full(c.size, x), pos[c] - 2, counts[2][_slots(longer)] if len(counts) > 2 else np.zeros(c.size, np.int64)))
-    if not out:
-        return (np.empty(0, np.int64),) * 4
+    # What follows a hot term is hot itself. Terms stand by vector and rarity: those behind one end where its vector ends.
+    hot = np.flatnonzero(here & (counts[0][v.slots] > cap)) if more.any() else np.empty(0, np.int64)
+    stop = np.searchsorted(v.owner[hot], v.owner[hot], "right")
+    a = np.flatnonzero(more[hot])
+    a, b = _behind(a, a + 1, stop)
+    key = _mixed(v.terms[hot[a]], v.terms[hot[b]])
+    second = reach[hot[b]] <= 2
+    if level == 2:
+        key, b = key[second], hot[b[second]]
+        return key, v.owner[b], v.pos[b] - 1, np.zeros(key.size, np.int64)
+    n = counts[1][_slots(key)] if len(counts) > 1 else np.zeros(key.size, np.int64)
+    longer = second & (n > cap) if len(counts) > 2 or level else np.zeros(key.size, bool)
+    if level is None:
+        at = second & ~longer
+        out.append((key[at], v.owner[hot[b[at]]], v.pos[hot[b[at]]] - 1, n[at]))
+    x, c = _behind(np.flatnonzero(longer), b[longer] + 1, stop)
+    key, c = _mixed(key[x], v.terms[hot[c]]), hot[c]
+    out.append((key, v.owner[c], v.pos[c] - 2, counts[2][_slots(key)] if len(counts) > 2 else np.zeros(key.size, np.int64)))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def _behind(of: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each of of with each place from its start up to where its vector ends (stop, by place)."""
+    times = np.maximum(stop[start - 1] - start, 0)
+    at = np.repeat(start, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    return np.repeat(of, times), at
+
+
 def key_counts(classes: DataFrame, bounds, cosine: float, counts, cap: int) -> np.ndarray:
     """How many vectors have each key of one term more than those counted, by slot."""
 
