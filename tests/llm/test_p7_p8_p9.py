@@ -116,6 +116,35 @@ def test_p9_cases(spark, tables, collect):
     assert p9.p9_clean(spark, d).count() == len(docs) - len(RESIDUE)
 
 
+# None of these stands among the exemplars.
+UNSEEN = [
+    "404 Not Found", "We could not find that page.", "Please switch on JavaScript in your browser settings to view this page.", "此網站正在維護", "[Your Name Here]", "<YOUR_NAME>", "{name}", "TODO: write content",
+    "請開啟您的 JavaScript 功能後再試一次", "待補。信函\n待補。問卷", "待補…待補…待補…", "Sorry, the page you requested does not exist.", "An internal error occurred. Please try again later.", "Your browser must have JavaScript enabled to continue.",
+    "系統發生未預期的錯誤，請重新整理後再試", "您的瀏覽器未啟用 JavaScript，請開啟後重新整理頁面", "your session has timed out, please log in again", "    at com.shop.Cart.add(Cart.java:88)", "{{ " + "x" * 150 + " }}", "頁面不存在或已移除",
+]
+USUAL = [
+    "待補正之鋼材新臺幣一百元", "The page was torn from the ledger and could not be restored by the clerk.", "The server brought the wine, and the court adjourned.", "本院網站之公告，原告於期限內未提出書狀。", "The error of law was not found to be material by the tribunal.",
+    "被告請求查詢其帳戶，銀行以系統維護為由拒絕，故原告主張被告違約。", "His name {n} was not read.",
+]
+
+
+def test_p9_unseen_wordings(spark, tables):
+    usual = [f"原告第{i}次向被告請求給付，被告則以書面拒絕，證人於驗證程序中到場。The broker quietly surveyed the parcel, and it was not to be sold by him or to us, as if you and I could have that of this." for i in range(400)]
+    docs = [*UNSEEN, *USUAL, *usual]
+    d = tables(documents=[{"doc_id": i, "text": t} for i, t in enumerate(docs)])
+    found = {r[0] for r in p9.p9_found(spark, d).collect()}
+    missed = [t for i, t in enumerate(UNSEEN) if i not in found]
+    assert len(missed) <= len(UNSEEN) // 10, missed
+    assert [docs[i] for i in found if i >= len(UNSEEN)] == []
+
+
+def test_p9_clean_needs_no_shuffle(spark, tables):
+    d = tables(documents=[{"doc_id": 1, "text": None}, {"doc_id": 2, "text": ""}, {"doc_id": 3, "text": "{{ x }}"}, {"doc_id": 4, "text": "\ufdd0原告"}])
+    clean = p9.p9_clean(spark, d)
+    assert sorted(r[0] for r in clean.collect()) == [1, 2, 4]
+    assert "Exchange" not in clean._jdf.queryExecution().executedPlan().toString()
+
+
 def test_p9_empty(spark, tables, collect):
     assert collect(p9.p9_found(spark, tables())) == []
 
