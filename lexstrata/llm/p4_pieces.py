@@ -1,42 +1,77 @@
 """Problem 4: cutting items over a size limit at natural boundaries, with an overlap.
 
-Method: prefix sums of unit lengths give each boundary its size; a binary search in the sorted boundaries finds the
-last one under the limit; the next piece begins the overlap before it; where there is no boundary, a hard cut.
+Method: a text becomes tokens, and prefix sums of their sizes give each token its offset. The offsets behind tokens that
+end a line, a sentence or a clause are the sorted boundary arrays. A binary search finds the last boundary under the
+limit, the next piece begins the overlap before it, and where there is no boundary, a hard cut falls behind the last
+token that fits: a word, a line break or a character with its combining marks stays whole if it isn't itself too long.
 
 Items at or under the limit are one piece and never leave the JVM. A piece, its overlap included, has at most
 ``limit`` characters (code points), and piece k begins with the last ``overlap`` characters of piece k - 1. Line ends
 are taken before sentence ends, and these before clause ends, if the piece then holds at least half the limit;
-otherwise the last boundary of any kind. A hard cut never parts CR from LF or a combining mark from its base.
-Null and empty items give one row whose piece is the item itself.
+otherwise the last boundary of any kind. Null and empty items give one row whose piece is the item itself.
 """
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import code_points, read
 
 LIMIT, OVERLAP = 512, 64
-# Ends of lines, sentences and clauses; closing quotes and brackets stay with what they close.
-ENDS = (re.compile(r"\r\n|[\n\r\x0b\x0c\x85\u2028\u2029]"), re.compile(r"(?:[。！？!?…]+|\.(?=\s))[」』”’）)\]]*"), re.compile(r"[；;，,、：:]+[」』”’）)\]]*"))
 PIECES = "item_table string, field_name string, row_id long, piece int, start int, size int, text string"
-
-
-def boundaries(text: str) -> list[np.ndarray]:
-    """Sorted end offsets of lines, of sentences and of clauses; a weaker kind includes the stronger ones."""
-    kinds, seen = [], np.empty(0, np.int64)
-    for ends in ENDS:
-        seen = np.union1d(seen, np.fromiter((m.end() for m in ends.finditer(text)), np.int64))
-        kinds.append(seen)
-    return kinds
+# A token: an end of a line, of a sentence or of a clause (closing quotes and brackets stay with what they close), a
+# word of letters and digits, or a character with its combining marks.
+LINE, SENTENCE, CLAUSE, OTHER, CLOSE, WORD, MARK, STOP, BLANK = range(1, 10)
+_KINDS = {LINE: "\n\r\x0b\x0c\x85\u2028\u2029", SENTENCE: "。！？!?…", CLAUSE: "；;，,、：:", CLOSE: "」』”’）)]", STOP: "."}
+
+
+@lru_cache(maxsize=1)
+def _classes() -> np.ndarray:
+    """The kind of each character of the basic plane."""
+    table = np.full(65536, OTHER, np.uint8)
+    for cp in range(65536):
+        ch = chr(cp)
+        table[cp] = MARK if unicodedata.combining(ch) or 0xFE00 <= cp <= 0xFE0F else WORD if ch.isascii() and (ch.isalnum() or ch == "_") else BLANK if ch.isspace() else OTHER
+    for kind, chars in _KINDS.items():
+        table[[ord(c) for c in chars]] = kind
+    return table
+
+
+def offsets(text: str) -> tuple[list[int], list[list[int]]]:
+    """The offset behind each token, and those behind the ends of lines, of sentences and of clauses, sorted; a weaker kind
+    includes the stronger ones."""
+    cps = code_points(text)
+    kind = _classes()[np.minimum(cps, 0xFFFF)]
+    after = np.concatenate([kind[1:], [OTHER]]).astype(np.uint8)
+    # A full stop ends a sentence before white space only.
+    stop = (kind == STOP) & np.isin(after, (BLANK, LINE)) & (np.arange(cps.size) < cps.size - 1)
+    # What the closing marks close.
+    at = np.maximum.accumulate(np.where(kind == CLOSE, 0, np.arange(cps.size)))
+    base = np.where(stop, SENTENCE, kind)[at]
+    base[np.isin(base, (CLOSE, STOP, WORD, MARK, BLANK))] = OTHER
+    glued = (after == MARK) & (kind != LINE)
+    glued |= (kind == after) & np.isin(kind, (SENTENCE, CLAUSE, WORD))
+    glued |= (after == CLOSE) & np.isin(base, (SENTENCE, CLAUSE))
+    glued[:-1] |= (cps[:-1] == 13) & (cps[1:] == 10)
+    glued[-1] = False
+    last = np.flatnonzero(~glued)
+    sizes = np.diff(last, prepend=-1)
+    ends = np.cumsum(sizes)  # prefix sums of the tokens' sizes
+    return ends.tolist(), [ends[base[last] <= k].tolist() for k in (LINE, SENTENCE, CLAUSE)]
+
+
+def _last(sorted_offsets: list[int], top: int, least: int) -> int:
+    """The last offset up to top that is least or more, or 0."""
+    at = bisect_right(sorted_offsets, top) - 1
+    return sorted_offsets[at] if at >= 0 and sorted_offsets[at] >= least else 0
 
 
 def cut(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int]]:
@@ -46,29 +81,18 @@ def cut(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int
     size = len(text)
     if size <= limit:
         return [(0, size)]
-    kinds = [k.tolist() for k in boundaries(text)]
+    ends, kinds = offsets(text)
     out, start = [], 0
-    while True:
-        if size - start <= limit:
-            out.append((start, size))
-            return out
-        top = start + limit
-        least = start + overlap + 1
-        end = 0
-        for floor in (start + limit // 2, least):
-            for kind in kinds:
-                at = bisect_right(kind, top) - 1
-                if at >= 0 and kind[at] >= max(floor, least):
-                    end = kind[at]
-                    break
-            if end:
-                break
-        if not end:
-            end = top
-            while end > least and (text[end - 1 : end + 1] == "\r\n" or unicodedata.combining(text[end])):
-                end -= 1
+    while size - start > limit:
+        top, least = start + limit, start + overlap + 1
+        half = max(start + limit // 2, least)
+        tries = [*((kind, half) for kind in kinds), *((kind, least) for kind in kinds), (ends, least)]
+        end = next((e for sorted_offsets, low in tries if (e := _last(sorted_offsets, top, low))), top)
+        while end == top > least and unicodedata.combining(text[end]):  # a word longer than the limit
+            end = top = top - 1
         out.append((start, end))
         start = end - overlap
+    return [*out, (start, size)]
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
