@@ -2,12 +2,15 @@
 
 Method: prefix-filtered set join. A run of RUN characters in common means that a window of RUN characters of the item
 stands in the document, with all its shingles of GRAM characters. Full containment needs one shingle a window: the
-rarest one over all documents. Only these are looked up; their place in the item and the document aligns the two, and
-characters are compared to the left and right of it, within the windows that hold the shingle, for an exact run.
-
-* Document frequencies of the items' shingles are counted over all documents, in one pass.
-* Items are the query set. They are taken in blocks of ``block_chars`` characters, each met with all documents by
-  a broadcast array of at most that many hashes; documents are never shuffled.
+rarest one over all documents. Only these prefix shingles are joined. The place of one in the item and in the document
+aligns the two, and the characters within RUN to the left and right of it are compared for an exact run.
+
+* Items are a table like the documents: nothing of them is collected. Two passes over the documents are made whatever the
+  number of items, one for document frequencies and one for the join; documents are never shuffled.
+* In both passes a bitmap of the wanted shingles (at most 2 ** MOST_BITS bits) drops nearly all shingles where they are
+  read. A full bitmap drops less, but what is joined is exact.
+* What the join exchanges are hits, each with its surroundings of at most 2 * RUN + GRAM characters. A shingle may stand
+  in a third of all documents: its hits are spread over SALTS tasks.
 * Items and documents of under RUN cleaned characters can share no such run. Null and empty ones have none.
 
 Texts are compared cleaned: without white space and punctuation, lower-cased.
@@ -15,19 +18,22 @@ Texts are compared cleaned: without white space and punctuation, lower-cased.
 
 from __future__ import annotations
 
+import math
+import os
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import _bmp_tables, clean_points, clean_python, code_points, read, window_hashes
+from .common import _bmp_tables, clean_points, clean_python, code_points, materialize, read, window_hashes
 
 RUN, GRAM = 40, 8
-BITS = 22
+MOST_BITS, SALTS = 28, 8
 # What the tables of the basic plane can't clean.
 _SPECIAL = re.compile("[İΣ\U00010000-\U0010ffff]")
 
@@ -65,121 +71,137 @@ def _grams(cps: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h[at], at
 
 
-class _Lookup:
-    """Sorted hashes behind a bitmap of their low bits."""
+def _text(cps: np.ndarray) -> str:
+    return cps.tobytes().decode("utf-32-le", "surrogatepass")
+
+
+def item_grams(items: DataFrame) -> DataFrame:
+    """item_id, row (of the item's text), place, h, before, behind: every shingle of every item (item_id, text), with the
+    RUN characters before it and those from its begin on."""
+
+    def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for item, text in zip(pdf["item_id"], pdf["text"]):
+                cps = clean_points(text)
+                if cps.size < RUN:
+                    continue
+                h = window_hashes(cps, GRAM).view(np.int64)
+                clean = _text(cps)
+                at = range(h.size)
+                row = xxhash.xxh64_intdigest(clean.encode("utf-8", "surrogatepass")) - 2**63
+                yield pd.DataFrame({"item_id": item, "row": row, "place": np.arange(h.size), "h": h, "before": [clean[max(0, i - RUN) : i] for i in at], "behind": [clean[i : i + RUN + GRAM] for i in at]})
+
+    return items.where(F.length("text") >= RUN).select("item_id", "text").mapInPandas(grams, "item_id long, row long, place long, h long, before string, behind string")
+
+
+def bitmap(hashes: DataFrame) -> np.ndarray:
+    """A bitmap of the column h, as bytes: 64 bits a hash, at most 2 ** MOST_BITS in all."""
+    n = hashes.count()
+    bits = min(MOST_BITS, max(16, math.ceil(math.log2(64 * n + 1))))
+    of_byte = F.expr(f"shiftright(h & {(1 << bits) - 1}L, 3)").alias("at")
+    bytes_ = hashes.groupBy(of_byte).agg(F.expr("bit_or(shiftleft(1, cast(h & 7L as int)))").alias("bits")).toPandas()  # at most 2 ** MOST_BITS / 8 rows
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    out[bytes_["at"].to_numpy(np.int64)] = bytes_["bits"].to_numpy(np.uint8)
+    return out
 
-    def __init__(self, hashes: np.ndarray) -> None:
-        self.hashes = hashes
-        self.bitmap = np.zeros(1 << BITS, bool)
-        self.bitmap[hashes & np.uint64((1 << BITS) - 1)] = True
 
-    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Indices into h of what is there, and its place among the hashes."""
-        maybe = np.flatnonzero(self.bitmap[h & np.uint64((1 << BITS) - 1)])
-        place = np.searchsorted(self.hashes, h[maybe])
-        hit = self.hashes[np.minimum(place, self.hashes.size - 1)] == h[maybe]
-        return maybe[hit], place[hit]
+def _marked(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The indices of the hashes whose bit is set."""
+    slot = (h & np.uint64(bits.size * 8 - 1)).astype(np.int64)
+    return np.flatnonzero((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
 
 
-def document_frequencies(docs: DataFrame, hashes: np.ndarray) -> np.ndarray:
-    """In how many documents each hash stands. docs: id, text."""
-    shared = docs.sparkSession.sparkContext.broadcast(hashes)
+def document_frequencies(docs: DataFrame, bits) -> DataFrame:
+    """h, df: in how many documents (id, text) each marked hash stands. Tasks add up what they read, a bounded number at a time."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lookup = _Lookup(shared.value)
-        total = np.zeros(shared.value.size, np.int64)
+        marks = bits.value
+        kept: list[np.ndarray] = []
+        size = 0
+
+        def out() -> pd.DataFrame:
+            h, n = np.unique(np.concatenate(kept), return_counts=True)
+            return pd.DataFrame({"h": h.view(np.int64), "df": n})
+
         for pdf in batches:
             for _, texts in _slices(pdf["text"], pdf["id"]):
                 cps, owner = _clean_slice(texts)
                 h, at = _grams(cps, owner)
-                found, place = lookup.find(h)
-                pairs = np.unique(place * len(texts) + owner[at[found]])
-                total += np.bincount(pairs // len(texts), minlength=total.size)
-        used = np.flatnonzero(total)
-        yield pd.DataFrame({"place": used, "n": total[used]})
-
-    rows = docs.mapInPandas(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toPandas()  # at most as many as hashes
-    out = np.zeros(hashes.size, np.int64)
-    out[rows["place"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
-    return out
+                found = _marked(marks, h)
+                order = np.lexsort((h[found], owner[at[found]]))
+                h, of = h[found][order], owner[at[found]][order]
+                new = np.ones(h.size, bool)
+                new[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
+                kept.append(h[new])
+                size += h.size
+                if size > 2_000_000:
+                    yield out()
+                    kept, size = [], 0
+        if kept:
+            yield out()
 
+    return docs.select("id", "text").mapInPandas(count, "h long, df long").groupBy("h").agg(F.sum("df").alias("df"))
 
-def prefixes(items: dict[int, np.ndarray], rank: dict[int, int]) -> dict[int, list[tuple[int, int]]]:
-    """For each needed hash, the (item, place) where it is the rarest shingle of a window of RUN characters."""
-    out: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    for item, cps in items.items():
-        h = window_hashes(cps, GRAM)
-        order = np.array([rank[x] for x in h.tolist()])
-        span = RUN - GRAM + 1
-        windows = np.lib.stride_tricks.sliding_window_view(order, span)
-        for place in np.unique(windows.argmin(axis=1) + np.arange(windows.shape[0])).tolist():
-            out[int(h[place])].append((item, place))
-    return out
 
+def prefixes(grams: DataFrame, df: DataFrame) -> DataFrame:
+    """h, item_id, before, behind of the shingles that are the rarest one of a window of RUN characters of their item.
 
-def run_length(a: np.ndarray, i: int, b: np.ndarray, j: int, most: int = RUN) -> int:
-    """The length of the run of equal characters around a[i] and b[j], as far as most to each side."""
-    n = min(i, j, most)
-    left = np.flatnonzero(a[i - n : i][::-1] != b[j - n : j][::-1])
-    m = min(a.size - i, b.size - j, most)
-    right = np.flatnonzero(a[i : i + m] != b[j : j + m])
-    return int(left[0] if left.size else n) + int(right[0] if right.size else m)
+    Shingles that no document has come first, and are left out where a window has one: no document holds that window."""
 
+    def rarest(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("place")
+        order = np.empty(len(pdf), np.int64)
+        order[np.lexsort((pdf["h"], pdf["df"]))] = np.arange(len(pdf))
+        windows = np.lib.stride_tricks.sliding_window_view(order, RUN - GRAM + 1)
+        chosen = pdf.iloc[np.unique(windows.argmin(axis=1) + np.arange(windows.shape[0]))]
+        return chosen[chosen["df"] > 0][["h", "item_id", "before", "behind"]]
 
-def leaks(docs: DataFrame, items: DataFrame, block_chars: int = 2_000_000) -> DataFrame:
-    """id, item_id: the documents (id, text) that have a run of RUN characters in common with an item (item_id, text)."""
-    blocks: list[dict[int, np.ndarray]] = [{}]
-    size = 0
-    for item_id, text in items.where(F.length("text") >= RUN).toLocalIterator():
-        cps = clean_points(text)
-        if cps.size < RUN:
-            continue
-        if size + cps.size > block_chars and blocks[-1]:
-            blocks.append({})
-            size = 0
-        blocks[-1][item_id] = cps
-        size += cps.size
-    out = None
-    for block in blocks:
-        found = _leaks_of_block(docs, block)
-        out = found if out is None else out.unionByName(found)
-    return out
+    ranked = grams.join(df, "h", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    return ranked.groupBy("item_id", "row").applyInPandas(rarest, "h long, item_id long, before string, behind string")
 
 
-def _leaks_of_block(docs: DataFrame, items: dict[int, np.ndarray]) -> DataFrame:
-    sc = docs.sparkSession.sparkContext
-    hashes = np.unique(np.concatenate([np.empty(0, np.uint64), *(window_hashes(c, GRAM) for c in items.values())]))
-    if not hashes.size:
-        return docs.where(F.lit(False)).select("id", F.lit(0).cast("long").alias("item_id"))
-    df = document_frequencies(docs, hashes)
-    rank = {h: r for r, h in enumerate(hashes[np.lexsort((hashes, df))].tolist())}
-    needed = prefixes(items, rank)
-    keys = np.array(sorted(needed), np.uint64)
-    shared = sc.broadcast((keys, [needed[k] for k in keys.tolist()], items))  # bounded by block_chars
+def hits(docs: DataFrame, bits) -> DataFrame:
+    """h, id, before, behind: the marked shingles of the documents."""
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, places, items = shared.value
-        lookup = _Lookup(keys)
+        marks = bits.value
         for pdf in batches:
-            rows = []
             for ids, texts in _slices(pdf["text"], pdf["id"]):
                 cps, owner = _clean_slice(texts)
-                begin = np.searchsorted(owner, np.arange(len(texts) + 1))
                 h, at = _grams(cps, owner)
-                found, place = lookup.find(h)
-                done = set()
-                for i, k in zip(at[found].tolist(), place.tolist()):
+                found = _marked(marks, h)
+                if not found.size:
+                    continue
+                begin = np.searchsorted(owner, np.arange(len(texts) + 1))
+                rows = []
+                for k, i in zip(h[found].view(np.int64).tolist(), at[found].tolist()):
                     doc = int(owner[i])
-                    own = None
-                    for item, j in places[k]:
-                        if (doc, item) not in done:
-                            own = cps[begin[doc] : begin[doc + 1]] if own is None else own
-                            if run_length(own, i - int(begin[doc]), items[item], j) >= RUN:
-                                done.add((doc, item))
-                rows += [(ids[d], x) for d, x in sorted(done)]
-            yield pd.DataFrame(rows, columns=["id", "item_id"]).astype("int64")
-
-    return docs.mapInPandas(find, "id long, item_id long")
+                    low, high = max(int(begin[doc]), i - RUN), min(int(begin[doc + 1]), i + RUN + GRAM)
+                    rows.append((k, ids[doc], _text(cps[low:i]), _text(cps[i:high])))
+                yield pd.DataFrame(rows, columns=["h", "id", "doc_before", "doc_behind"]).astype({"h": "int64", "id": "int64"})
+
+    return docs.select("id", "text").mapInPandas(find, "h long, id long, doc_before string, doc_behind string")
+
+
+@F.pandas_udf(T.IntegerType())
+def _run(before: pd.Series, behind: pd.Series, doc_before: pd.Series, doc_behind: pd.Series) -> pd.Series:
+    """The length of the run of equal characters around two aligned places."""
+    same = os.path.commonprefix
+    rows = zip(before, behind, doc_before, doc_behind)
+    return pd.Series([len(same([a[::-1], c[::-1]])) + len(same([b, d])) for a, b, c, d in rows], dtype="int32")
+
+
+def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """id, item_id: the documents (id, text) that have a run of RUN characters in common with an item (item_id, text)."""
+    sc = docs.sparkSession.sparkContext
+    grams = materialize(item_grams(items), "p8-grams")
+    df = document_frequencies(docs, sc.broadcast(bitmap(grams.select("h").distinct())))
+    # A table of its own: Spark broadcasts it if its files are small, and joins by an exchange of both sides if not.
+    wanted = materialize(prefixes(grams, df), "p8-prefixes")
+    found = hits(docs, sc.broadcast(bitmap(wanted.select("h").distinct()))).withColumn("salt", F.pmod(F.hash("id"), F.lit(SALTS)))
+    wanted = wanted.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    both = found.join(wanted, ["h", "salt"])
+    return both.where(_run("before", "behind", "doc_before", "doc_behind") >= RUN).select("id", "item_id").distinct()
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:

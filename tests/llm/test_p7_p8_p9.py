@@ -67,7 +67,7 @@ def brute_leaks(docs, items, run=40):
     return sorted(out)
 
 
-def test_p8_equals_brute_force(spark, tables, collect):
+def test_p8_equals_brute_force(spark, tables, collect, monkeypatch):
     rng = random.Random(6)
     word = lambda n: "".join(rng.choice("甲乙丙丁戊己庚辛壬癸子丑AbＣ") for _ in range(n))
     items = {i: word(rng.choice([20, 39, 40, 41, 90, 200])) for i in range(12)} | {50: None, 51: "", 52: " ，"}
@@ -84,7 +84,12 @@ def test_p8_equals_brute_force(spark, tables, collect):
     assert len(want) > 20 and (903, 53) in want
     assert collect(p8.p8_found(spark, d)) == want
     frames = spark.createDataFrame(list(docs.items()), "id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string")
-    assert collect(p8.leaks(*frames, block_chars=100)) == want
+    assert collect(p8.leaks(*frames)) == want
+    # The same with bitmaps that are full, and where nothing is small enough to be broadcast.
+    monkeypatch.setattr(p8, "MOST_BITS", 6)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    assert collect(p8.leaks(*frames)) == want
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sum(r["n_docs"] for r in p8.p8_items(spark, d).collect()) == len(want)
 
 
