@@ -95,20 +95,24 @@ def item_grams(items: DataFrame) -> DataFrame:
 
 
 def bitmap(hashes: DataFrame) -> np.ndarray:
-    """A bitmap of the column h, as bytes: 64 bits a hash, at most 2 ** MOST_BITS in all."""
+    """A bitmap of the column h, as bytes: two bits a hash among 256 or more a hash, at most 2 ** MOST_BITS in all."""
     n = hashes.count()
-    bits = min(MOST_BITS, max(16, math.ceil(math.log2(64 * n + 1))))
-    of_byte = F.expr(f"shiftright(h & {(1 << bits) - 1}L, 3)").alias("at")
-    bytes_ = hashes.groupBy(of_byte).agg(F.expr("bit_or(shiftleft(1, cast(h & 7L as int)))").alias("bits")).toPandas()  # at most 2 ** MOST_BITS / 8 rows
+    bits = min(MOST_BITS, max(16, math.ceil(math.log2(256 * n + 1))))
+    slots = hashes.select(F.explode(F.expr(f"array(h & {(1 << bits) - 1}L, shiftrightunsigned(h, 32) & {(1 << bits) - 1}L)")).alias("slot"))
+    bytes_ = slots.groupBy(F.expr("shiftright(slot, 3)").alias("at")).agg(F.expr("bit_or(shiftleft(1, cast(slot & 7L as int)))").alias("bits")).toPandas()  # at most 2 ** MOST_BITS / 8 rows
     out = np.zeros((1 << bits) // 8, np.uint8)
     out[bytes_["at"].to_numpy(np.int64)] = bytes_["bits"].to_numpy(np.uint8)
     return out
 
 
 def _marked(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """The indices of the hashes whose bit is set."""
-    slot = (h & np.uint64(bits.size * 8 - 1)).astype(np.int64)
-    return np.flatnonzero((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
+    """The indices of the hashes whose bits are set."""
+    mask = np.uint64(bits.size * 8 - 1)
+    at = np.arange(h.size)
+    for shift in (0, 32):
+        slot = ((h[at] >> np.uint64(shift)) & mask).astype(np.int64)
+        at = at[((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1) == 1]
+    return at
 
 
 def document_frequencies(docs: DataFrame, bits) -> DataFrame:
