@@ -6,29 +6,35 @@ Method: recursive radix partitioning on canonical bytes, then counting in a trie
   sorted cleaned fields. Two records are the same if they share k1 or k2, transitively.
 * The canonical bytes by which records are partitioned are a digest of the sorted characters of k1: equal for all
   members of a group whatever the order of the fields, and evenly spread.
-* Every task first merges its own repeats in a trie, so that a text that holds a third of all rows reaches its bucket
-  as one row per task. Buckets over ``bucket_rows`` are split by the next digest byte, again and again.
+* Every task first merges its own repeats in a trie, in one pass over the tables, and writes each text once with the ids
+  that it had there. So a text that holds a third of all rows reaches its bucket as one row a task, and comes back to its
+  ids as one row a task.
+* Buckets are the leading digest bytes, as many as the number of rows asks for; a bucket that still has over
+  ``bucket_rows`` is split by the next byte in its task, again and again. The driver holds one number.
 * Within a bucket, a trie with terminal counters over (scope, k1) and one over (scope, k2) meet in a union-find.
-* Ids are joined back to their group by two 64-bit hashes; texts with very many rows are salted.
 
+Being the same is transitive: a line that has no fields but the cleaned text of one that has is the same as it, and so as
+the lines that have its fields in another order.
 Nulls, blank texts and texts under ``min_chars`` cleaned characters are in no group. Null doc_id is a scope of its own.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, cleaned, hot_keys, materialize, read, salt_map
+from .common import SPACE, cleaned, materialize, read
 
 STRIDE = 12
 SEPARATOR = "[;；|｜]"
 FIELD = rf"(?U)^[^:：]*[^:：{SPACE}][^:：]*[:：]"
-PARTIAL = "rec_table string, scope long, k1 string, k2 string, h1 long, h2 long, digest string, kept_id long, n long"
+PARTIAL = "rec_table string, scope long, k1 string, k2 string, h1 long, h2 long, digest string, kept_id long, n long, ids array<long>"
+GROUPS = "rec_table string, h1 long, h2 long, kept_id long, n_copies long"
 
 
 class CountTrie:
@@ -78,30 +84,32 @@ def canonical(df: DataFrame, rec_table: str, id_col: str, text_col: str, scope_c
 
 
 def _merge_local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Merge the repeats within a task; flushed at a fixed number of distinct keys, so memory is bounded."""
-    most = 100_000
-    trie, found = CountTrie(), []
+    """Merge the repeats within a task; flushed at a fixed number of bytes of keys and ids, so memory is bounded."""
+    most = 64_000_000
+    trie, found, size = CountTrie(), [], 0
 
     def flush() -> pd.DataFrame:
         rows = []
-        for leaf, (rec_table, scope, k1, k2, h1, h2) in found:
+        for ids, (rec_table, scope, k1, k2, h1, h2) in found:
             digest = xxhash.xxh64_hexdigest("".join(sorted(k1.replace("|", "").replace("｜", ""))), seed=scope & 0xFFFFFFFF)
-            rows.append((rec_table, scope, k1, k2, h1, h2, digest, leaf[1], leaf[2]))
-        return pd.DataFrame(rows, columns=["rec_table", "scope", "k1", "k2", "h1", "h2", "digest", "kept_id", "n"])
+            rows.append((rec_table, scope, k1, k2, h1, h2, digest, min(ids), len(ids), ids))
+        return pd.DataFrame(rows, columns=["rec_table", "scope", "k1", "k2", "h1", "h2", "digest", "kept_id", "n", "ids"])
 
     for pdf in batches:
         for row in zip(pdf["rec_table"], pdf["id"], pdf["scope"], pdf["k1"], pdf["k2"], pdf["h1"], pdf["h2"]):
             rec_table, rid, scope, k1, k2, h1, h2 = row
-            leaf = trie.terminal(f"{rec_table[0]}{scope}\x00{k1}\x00{k2 or ''}".encode("utf-8", "surrogatepass"))
+            key = f"{rec_table[0]}{scope}\x00{k1}\x00{k2 or ''}".encode("utf-8", "surrogatepass")
+            leaf = trie.terminal(key)
             if len(leaf) == 1:
-                leaf += (rid, 1)
-                found.append((leaf, (rec_table, scope, k1, k2, h1, h2)))
+                leaf.append([rid])
+                found.append((leaf[1], (rec_table, scope, k1, k2, h1, h2)))
+                size += 2 * len(key) + 200
             else:
-                leaf[1] = min(leaf[1], rid)
-                leaf[2] += 1
-        if len(found) >= most:
-            yield flush()
-            trie, found = CountTrie(), []
+                leaf[1].append(rid)
+                size += 32
+            if size >= most:
+                yield flush()
+                trie, found, size = CountTrie(), [], 0
     if found:
         yield flush()
 
@@ -131,55 +139,35 @@ def _count_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
             parent[top(node(seconds, f"{rec_table}\x00{scope}\x00{k2}"))] = top(a)
         nodes.append(a)
     pdf = pdf.assign(group=[top(x) for x in nodes])
-    sums = pdf.groupby("group").agg(kept=("kept_id", "min"), copies=("n", "sum"))
-    pdf = pdf.join(sums, on="group")
-    pdf = pdf[pdf["copies"] > 1]
-    out = pdf.groupby(["rec_table", "scope", "h1", "h2", "kept", "copies"], as_index=False).agg(n=("n", "sum"))
-    return out.rename(columns={"kept": "kept_id", "copies": "n_copies"})[["rec_table", "scope", "h1", "h2", "kept_id", "n_copies", "n"]]
-
-
-def radix_buckets(df: DataFrame, bucket_rows: int, deepest: int = 8) -> DataFrame:
-    """Add the column bucket: the shortest prefix of digest bytes whose bucket has at most bucket_rows rows.
-
-    The driver holds only the prefixes that had to be split, at most rows / bucket_rows a level."""
-    split: list[list[str]] = []
-    rest = df
-    for depth in range(deepest):
-        prefix = F.substring("digest", 1, 2 * depth)
-        over = [r[0] for r in rest.groupBy(prefix.alias("p")).count().where(F.col("count") > bucket_rows).select("p").collect()]
-        if not over:
-            break
-        split.append(over)
-        rest = df.where(prefix.isin(over))
-    bucket: Column = F.substring("digest", 1, 2 * len(split))
-    for depth in range(len(split) - 1, -1, -1):
-        prefix = F.substring("digest", 1, 2 * depth)
-        bucket = F.when(~prefix.isin(split[depth]), prefix).otherwise(bucket)
-    return df.withColumn("bucket", bucket)
-
-
-def format_groups(records: DataFrame, bucket_rows: int = 20_000) -> DataFrame:
-    """rec_table, scope, h1, h2, kept_id, n_copies, n: the texts of all groups of two or more records."""
-    merged = materialize(records.mapInPandas(_merge_local, PARTIAL), "p1-merged")
-    bucketed = radix_buckets(merged, bucket_rows).drop("digest")
-    schema = "rec_table string, scope long, h1 long, h2 long, kept_id long, n_copies long, n long"
-    return bucketed.groupBy("bucket").applyInPandas(lambda pdf: _count_bucket(pdf), schema)
-
-
-def members(records: DataFrame, groups: DataFrame, hot_rows: int = 200_000) -> DataFrame:
+    sums = pdf.groupby("group").agg(kept=("kept_id", "min"), n_copies=("n", "sum"))
+    pdf = pdf.drop(columns="kept_id").join(sums.rename(columns={"kept": "kept_id"}), on="group")
+    return pdf[pdf["n_copies"] > 1][["rec_table", "h1", "h2", "kept_id", "n_copies"]].drop_duplicates()
+
+
+def _split(pdf: pd.DataFrame, depth: int, bucket_rows: int) -> pd.DataFrame:
+    """Count a bucket whose digests share depth bytes; split it by the next byte while it is over bucket_rows."""
+    if len(pdf) <= bucket_rows or 2 * depth >= 16:
+        return _count_bucket(pdf)
+    return pd.concat([_split(part, depth + 1, bucket_rows) for _, part in pdf.groupby(pdf["digest"].str[2 * depth : 2 * depth + 2])])
+
+
+def merge(records: DataFrame) -> DataFrame:
+    """The records, each task's repeats in one row: a table in the shared folder."""
+    return materialize(records.mapInPandas(_merge_local, PARTIAL), "p1-merged")
+
+
+def format_groups(merged: DataFrame, bucket_rows: int = 20_000) -> DataFrame:
+    """rec_table, h1, h2, kept_id, n_copies: the texts of all groups of two or more records. merged: of merge."""
+    depth = max(0, math.ceil(math.log(max(1, merged.count() / bucket_rows), 256)))
+    rows = merged.drop("ids").withColumn("bucket", F.substring("digest", 1, 2 * depth))
+    return rows.groupBy("bucket").applyInPandas(lambda pdf: _split(pdf, depth, bucket_rows), GROUPS)
+
+
+def members(merged: DataFrame, groups: DataFrame) -> DataFrame:
     """rec_table, kept_id, id for each record of each group, kept ones included."""
-    groups = materialize(groups, "p1-groups")
-    hot = hot_keys(groups, "h1", F.col("n"), hot_rows)
-    salts = salt_map(groups.sparkSession, hot, hot_rows)
-    left = records.select("rec_table", "id", "h1", "h2")
-    right = groups.select("rec_table", "h1", "h2", "kept_id")
     on = ["rec_table", "h1", "h2"]
-    if salts is not None:
-        n = lambda: F.coalesce(F.element_at(salts, F.col("h1")), F.lit(1))
-        left = left.withColumn("salt", F.pmod(F.hash("id"), n()))
-        right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), n() - 1)))
-        on = [*on, "salt"]
-    return left.join(right, on).select("rec_table", "kept_id", "id")
+    rows = merged.select(*on, "ids").join(groups.select(*on, "kept_id"), on)
+    return rows.select("rec_table", "kept_id", F.explode("ids").alias("id"))
 
 
 def records(spark: SparkSession, sf_dir: str, min_chars: int = 12) -> DataFrame:
@@ -190,10 +178,11 @@ def records(spark: SparkSession, sf_dir: str, min_chars: int = 12) -> DataFrame:
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each copy: the smallest id of its group and its own."""
-    rows = records(spark, sf_dir)
-    return members(rows, format_groups(rows)).where("id <> kept_id").select("rec_table", "kept_id", F.col("id").alias("copy_id")).distinct()
+    merged = merge(records(spark, sf_dir))
+    rows = members(merged, materialize(format_groups(merged), "p1-groups"))
+    return rows.where("id <> kept_id").select("rec_table", "kept_id", F.col("id").alias("copy_id")).distinct()
 
 
 def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One record per group, with the number of its copies (itself included)."""
-    return format_groups(records(spark, sf_dir)).select("rec_table", "kept_id", "n_copies").distinct()
+    return format_groups(merge(records(spark, sf_dir))).select("rec_table", "kept_id", "n_copies").distinct()

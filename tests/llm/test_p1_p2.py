@@ -52,11 +52,17 @@ def test_p1_look_alikes_stay_apart(spark, tables, collect):
 
 
 def test_p1_buckets_split_and_hot_text(spark, tables, collect):
-    """A third of all rows is one text; buckets over 20 rows are split; hot texts are salted."""
+    """A third of all rows is one text; buckets over 20 rows are split."""
     d = tables(labelled_lines=lines(*([LINE] * 200), *[f"{LINE}{i:04d}" for i in range(200)], *[f"{LINE} {i:04d}。" for i in range(200)]))
-    rows = p1.records(spark, d)
-    groups = p1.format_groups(rows, bucket_rows=20)
-    got = collect(p1.members(rows, groups, hot_rows=50).where("id <> kept_id").select("kept_id", "id"))
+    merged = p1.merge(p1.records(spark, d))
+    assert merged.count() < 600
+    for bucket_rows in (1, 20):
+        groups = p1.format_groups(merged, bucket_rows=bucket_rows)
+        got = collect(p1.members(merged, groups).where("id <> kept_id").select("kept_id", "id"))
+        assert got == sorted([(1, i) for i in range(2, 201)] + [(201 + i, 401 + i) for i in range(200)])
+    # A bucket may also be split within its task.
+    assert p1._split(merged.toPandas(), 0, 20).drop_duplicates().shape[0] == p1._count_bucket(merged.toPandas()).shape[0]
+    got = collect(p1.p1_found(spark, d).select("kept_id", "copy_id"))
     assert got == sorted([(1, i) for i in range(2, 201)] + [(201 + i, 401 + i) for i in range(200)])
 
 
