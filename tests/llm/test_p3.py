@@ -30,6 +30,69 @@ def test_cases(text, want):
     assert [(c.type, text[c.start : c.end]) for c in p3.entities(text)] == want
 
 
+PROBES = [
+    ("原告 王小明", "王小明"), ("被告陳大文於昨日到庭。", "陳大文"), ("證人林美華證稱屬實。", "林美華"), ("Mr John Smith lives at 12 Main St.", "John Smith"), ("上訴人：林志豪", "林志豪"), ("證人張美玲證稱：當日在場。", "張美玲"),
+    ("選任辯護人　黃國華律師", "黃國華"), ("聲請人　周建平\r\n相對人　吳淑芬", "周建平"), ("書記官　蔡佳慧", "蔡佳慧"),
+]
+
+
+@pytest.mark.parametrize("text, name", PROBES)
+def test_ordinary_names(text, name):
+    """Names that share no character with those of the sample that the weights were trained on."""
+    assert ("name", name) in [(c.type, text[c.start : c.end]) for c in p3.entities(text)]
+
+
+def test_names_of_unseen_characters(duck):
+    """Judgments with their names replaced by common surnames and given names of other characters: at least 0.9 are found."""
+    import random
+
+    from lexstrata.llm import p3_train
+
+    rng, found, want = random.Random(3), 0, 0
+    surnames = "陳林黃張李王吳劉蔡楊許鄭謝郭洪邱"
+    given = "琪瑋晴皓蓁瑜璇霖翊瑩筠儒睿綺禎鈺"
+    for (text,) in duck.execute("SELECT jfull FROM judgments WHERE jfull IS NOT NULL").fetchall():
+        for old in p3_train.names_of(text):
+            if re.fullmatch("[一-鿿]{3}", old):
+                new = rng.choice(surnames) + rng.choice(given) + rng.choice(given)
+                text = text.replace(old, new)
+                want += text.count(new)
+                found += sum(text[c.start : c.end] == new for c in p3.entities(text))
+    assert want > 30 and found >= 0.9 * want, (found, want)
+
+
+def test_likelihood_is_that_of_all_segmentations():
+    """The forward and backward sums against every set of segments without overlap."""
+    import itertools
+    import math
+    import random
+
+    from lexstrata.llm.p3_train import likelihood
+
+    rng = random.Random(4)
+    for _ in range(60):
+        spans = sorted({(a, a + rng.randint(1, 4)) for a in [rng.randint(0, 8) for _ in range(6)]}, key=lambda x: (x[1], x[0]))
+        scores, touch = [rng.uniform(-2, 2) for _ in spans], rng.uniform(-1, 1)
+        z, mass, pairs = 0.0, [0.0] * len(spans), 0.0
+        for n in range(len(spans) + 1):
+            for some in itertools.combinations(range(len(spans)), n):
+                if all(spans[i][1] <= spans[j][0] or spans[j][1] <= spans[i][0] for i, j in itertools.combinations(some, 2)):
+                    beside = sum(spans[i][1] == spans[j][0] for i in some for j in some)
+                    w = math.exp(sum(scores[i] for i in some) + touch * beside)
+                    z, pairs = z + w, pairs + w * beside
+                    for i in some:
+                        mass[i] += w
+        got, prob, expected = likelihood(spans, scores, touch)
+        assert abs(got - math.log(z)) < 1e-9 and abs(expected - pairs / z) < 1e-9
+        assert all(abs(p - m / z) < 1e-9 for p, m in zip(prob, mass))
+
+
+def test_batches_are_the_same_as_texts():
+    texts = [t for t, _ in CASES]
+    want = [[(c.type, t[c.start : c.end]) for c in p3.entities(t)] for t in texts]
+    assert list(p3.batch_entities(texts)) == want and list(p3.batch_entities(texts, at_once=30)) == want
+
+
 def test_redaction_keeps_the_rest():
     assert p3.redact("被告　緱璦熹\r\n電話：06-1439437。") == "被告　[NAME]\r\n電話：[PHONE]。"
     assert p3.redact("沒有個人資料的文字。") == "沒有個人資料的文字。"
@@ -43,10 +106,10 @@ def test_decoding_is_optimal():
     rng = random.Random(2)
     for _ in range(200):
         some = [p3.Candidate(a, a + rng.randint(1, 6), "name", (f"w{i}",)) for i in range(7) for a in [rng.randint(0, 12)]]
-        weights = {f"w{i}": rng.uniform(-1, 3) for i in range(7)}
+        weights = {f"w{i}": rng.uniform(-1, 3) for i in range(7)} | {"touch": rng.uniform(-2, 1)}
 
         def score(cs, weights=weights):
-            return sum(weights[c.features[0]] for c in cs)
+            return sum(weights[c.features[0]] for c in cs) + weights["touch"] * sum(x.end == y.start for x in cs for y in cs)
 
         best = 0.0
         for n in range(8):
