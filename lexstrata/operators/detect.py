@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import symbols as S
 from ..functions import text as X
-from .lines import in_order, lf_lines
+from .lines import lf_lines, lines_with_before
 
 Scorer = Callable[[Column], Column]
 SOFT = ("soft_rule_only", "soft_rule_bert")
@@ -23,8 +23,8 @@ def with_category(rows: DataFrame, symbol: str = "symbol") -> DataFrame:
 
 def ultra_strict(docs: DataFrame) -> DataFrame:
     r"""Markers in the strict form: one symbol, 、 and text; the line before ends with \r, except before the first line."""
-    lines = lf_lines(docs).withColumn("before", F.lag("raw").over(in_order())).withColumn("content", X.strip(F.col("raw")))
-    lines = lines.where(F.col("content").rlike(r"(?ds)^.、") & (F.col("before").isNull() | F.col("before").endswith("\r")))
+    lines = lines_with_before(docs).withColumn("content", X.strip(F.col("raw")))
+    lines = lines.where(F.col("proper") & F.col("content").rlike(r"(?ds)^.、"))
     lines = with_category(lines.withColumn("symbol", F.substring("content", 1, 1))).where("category IS NOT NULL")
     return lines.select(
         "doc_id", (F.col("idx0") + 1).alias("line_number"), "symbol", S.code_name(F.col("symbol")).alias("unicode_code"), "category", "content",

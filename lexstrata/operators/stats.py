@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sections import SECTIONS, extract_dates, section_stats
+from .sections import SECTIONS, date_count, extract_dates, section_sizes, with_segments
 
 
 def file_parts(docs: DataFrame) -> DataFrame:
@@ -35,19 +35,17 @@ def class_symbol(has: dict[str, Column], dates: Column) -> Column:
 
 
 def doc_stats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, n_<section>, dates_count, symbol; ERROR for a null text."""
-    counts = section_stats(docs)
-    dates = extract_dates(docs).groupBy("doc_id").agg(F.count("*").alias("dates_count"))
-    rows = docs.select("doc_id", F.length("jfull").cast("long").alias("n_chars")).join(counts, "doc_id", "left").join(dates, "doc_id", "left")
-    rows = rows.withColumn("dates_count", F.coalesce("dates_count", F.lit(0)).cast("long"))
-    has = {s: F.coalesce(F.col(f"n_{s}") > 0, F.lit(False)) for s in SECTIONS}
-    symbol = F.when(F.col("n_chars").isNull(), "ERROR").otherwise(class_symbol(has, F.col("dates_count")))
-    return rows.withColumn("symbol", symbol)
+    """doc_id, n_chars, n_<section>, dates_count, symbol; ERROR for a null text. A projection: nothing is exchanged."""
+    names = [f"n_{s}" for s in SECTIONS]
+    good = with_segments(docs, True).select("doc_id", F.length("jfull").cast("long").alias("n_chars"), *section_sizes(F.col("segments")), date_count(F.col("jfull")).alias("dates_count"))
+    bad = docs.where(F.col("jfull").isNull()).select("doc_id", F.lit(None).cast("long").alias("n_chars"), *[F.lit(None).cast("long").alias(c) for c in names], F.lit(0).cast("long").alias("dates_count"), F.lit("ERROR").alias("symbol"))
+    has = {s: F.col(f"n_{s}") > 0 for s in SECTIONS}
+    return good.withColumn("symbol", class_symbol(has, F.col("dates_count"))).unionByName(bad)
 
 
 def section_summary(stats: DataFrame) -> DataFrame:
     """section, present, empty, avg, median (the upper one), min, max of line counts over the documents without error."""
-    rows = stats.where("symbol <> 'ERROR'").select(F.explode(F.array(*[F.struct(F.lit(s).alias("section"), F.col(f"n_{s}").alias("n")) for s in SECTIONS])).alias("x")).select("x.*")
+    rows = stats.where("n_chars IS NOT NULL").select(F.explode(F.array(*[F.struct(F.lit(s).alias("section"), F.col(f"n_{s}").alias("n")) for s in SECTIONS])).alias("x")).select("x.*")
     # Few different counts: the median is taken from their histogram, not from a list of all documents.
     hist = rows.groupBy("section", "n").agg(F.count("*").alias("docs"))
     return hist.groupBy("section").agg(

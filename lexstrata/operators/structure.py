@@ -82,7 +82,9 @@ def learn_rules(found: DataFrame, structure: DataFrame) -> DataFrame:
 
 def rule_maps(rules: DataFrame) -> DataFrame:
     """doc_id, rules: a map from category to level (at most MAX_LEVELS entries). Joined by doc_id alone, so that rows that
-    are partitioned by document needn't be shuffled by category too."""
+    are partitioned by document needn't be shuffled by category too. What is such a table already stays as it is."""
+    if "rules" in rules.columns:
+        return rules
     entry = F.struct("symbol_category", "assigned_level")
     return rules.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(entry)).alias("rules"))
 

@@ -212,9 +212,9 @@ ORACLE: dict[str, str] = {
     ),
     "jdg_a12c_marker_projection": _w(DET, "SELECT doc_id, line_number, printf('U+%04X', unicode(detected_symbol)) AS unicode_code, symbol_category, rule_based_score, bert_score, method_used = 'ultra_strict_pua' AS is_pua FROM pos"),
     "jdg_k5_most_markers": _w(DET, "SELECT doc_id, count(*) FILTER (WHERE final_prediction) AS total_markers FROM det GROUP BY ALL ORDER BY 2 DESC, 1 LIMIT 20"),
-    "det_a4_by_method": "SELECT method_used, count(*) AS total, count(*) FILTER (WHERE final_prediction) AS positive FROM detections WHERE method_used IS NOT NULL GROUP BY ALL",
+    "det_a4_by_method": "SELECT method_used, count(*) AS total, count(*) FILTER (WHERE final_prediction) AS positive FROM detections GROUP BY ALL",
     "det_a7_score_stats": _STATS.format(t="detections"),
-    "det_a12b_file_stats": _FILE.format(t="(SELECT * FROM detections WHERE method_used IS NOT NULL)"),
+    "det_a12b_file_stats": _FILE.format(t="detections"),
     "jdg_t3_structure": _w(STRUCT, "SELECT * FROM str"),
     "jdg_a13_rules": _w(RULES, "SELECT *, " + _EX.format(agg="string_agg(substr(line_text, 1, 50) || '...', '¦' ORDER BY line_number)", rows="span", t="rules") + " AS examples FROM rules"),
     "jdg_j4_category_levels": _w(_APPLY, "SELECT doc_id, symbol_category, assigned_level, is_learned, n AS count, " + _EX.format(agg="string_agg(substr(line_text, 1, 50) || '...', '¦' ORDER BY line_number)", rows="pos", t="lvl") + " AS examples FROM lvl"),

@@ -29,6 +29,8 @@ class Analysis:
     def __init__(self, docs: DataFrame, scorer: D.Scorer | None = None, threshold: float = 0.5) -> None:
         # Whole documents are shuffled once by doc_id; every later window, join and group on doc_id keeps that partitioning,
         # so that lines are never shuffled, and all branches read the one exchange.
+        # Rows that no join keeps are dropped before, or filters pushed under some branches would make exchanges of their own.
+        docs = docs.where("doc_id IS NOT NULL AND jfull IS NOT NULL").select("doc_id", "file_name", "jfull")
         self.docs, self.scorer, self.threshold = docs.repartition("doc_id"), scorer, threshold
 
     @cached_property
@@ -47,17 +49,23 @@ class Analysis:
     def rules(self) -> DataFrame:
         return L.learn_rules(self.found, self.structure)
 
+    @cached_property
+    def rule_maps(self) -> DataFrame:
+        """The learned levels, one small row a document. An exchange of their own: all branches that use them read the one
+        stage, so that lines are detected for them once."""
+        return L.rule_maps(self.rules).repartition(F.xxhash64("doc_id"))
+
     @cached_property
     def levels(self) -> DataFrame:
-        return L.category_levels(self.found, self.rules)
+        return L.category_levels(self.found, self.rule_maps)
 
     @cached_property
     def hierarchy(self) -> DataFrame:
-        return L.apply_rules(self.found, self.rules)
+        return L.apply_rules(self.found, self.rule_maps)
 
     @cached_property
     def chunks(self) -> DataFrame:
-        return C.line_chunks(self.lines, self.rules)
+        return C.line_chunks(self.lines, self.rule_maps)
 
     @cached_property
     def rag(self) -> DataFrame:
@@ -80,7 +88,7 @@ class Analysis:
         """doc_id, total_lines, learning_lines, total_symbols_detected, learned_rules_count, rule_coverage, final_levels,
         line_based_chunks_count."""
         zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-        rows = self.structure.join(self.rules.groupBy("doc_id").agg(F.count("*").alias("learned_rules_count")), "doc_id", "left")
+        rows = self.structure.join(self.rule_maps.select("doc_id", F.size("rules").alias("learned_rules_count")), "doc_id", "left")
         rows = rows.join(L.coverage(self.levels), "doc_id", "left").join(self.chunks.groupBy("doc_id").agg(F.count("*").alias("line_based_chunks_count")), "doc_id", "left")
         rows = rows.withColumnsRenamed({"total_symbols": "total_symbols_detected", "total_levels": "final_levels"})
         learning = F.coalesce(F.col("total_lines") - F.col("learn_start"), F.lit(0)).cast("long")

@@ -81,7 +81,7 @@ _over_docs("jdg_p10_strict_pua", lambda d: D.detect(d).where("method_used = 'ult
 _over_docs("jdg_p11_soft_candidates", lambda d: D.detect(d).where("method_used = 'soft_rule_only'").select("doc_id", "line_number", "detected_symbol", "symbol_category"))
 _over_docs("jdg_p12_detect", D.detect)
 _over_docs("jdg_j1_dictionary_join", lambda d: D.with_category(_first_chars(d)).where("category IS NOT NULL").select("doc_id", "idx0", "symbol", "category"))
-_over_docs("jdg_w2_previous_line", lambda d: N.lf_lines(d).select("doc_id", "idx0", F.coalesce(F.lag("raw").over(N.in_order()).endswith("\r"), F.lit(True)).alias("proper")))
+_over_docs("jdg_w2_previous_line", lambda d: N.lines_with_before(d).select("doc_id", "idx0", "proper"))
 
 
 def _first_chars(d: DataFrame) -> DataFrame:
@@ -113,7 +113,7 @@ _over_docs("jdg_a12c_marker_projection", lambda d: D.marker_projection(D.detect(
 _over_docs("jdg_k5_most_markers", lambda d: D.file_stats(D.detect(d)).orderBy(F.desc("total_markers"), "doc_id").limit(20).select("doc_id", "total_markers"))
 
 # The detections table holds scored results of a model; the same analyses run on it.
-_scored = lambda spark, d: readers.table(spark, d, "detections").where("method_used IS NOT NULL")
+_scored = lambda spark, d: readers.table(spark, d, "detections")
 QUERIES["det_a4_by_method"] = lambda spark, d: D.by_method(_scored(spark, d))
 QUERIES["det_a7_score_stats"] = lambda spark, d: D.score_stats(_scored(spark, d))
 QUERIES["det_a12b_file_stats"] = lambda spark, d: D.file_stats(_scored(spark, d))
