@@ -68,6 +68,23 @@ def metrics(rows: DataFrame) -> DataFrame:
     )
 
 
+def class_report(rows: DataFrame) -> DataFrame:
+    """label, precision, recall, f1, support: a row for each label, of rows with label and prediction. Undefined ratios are 0."""
+    both = rows.select(F.col("label").cast("double").alias("label"), F.col("prediction").cast("double").alias("prediction")).where("label IS NOT NULL AND prediction IS NOT NULL")
+    sides = F.array(F.struct(F.col("label").alias("of"), F.lit(1).alias("is"), F.lit(0).alias("said")), F.struct(F.col("prediction").alias("of"), F.lit(0).alias("is"), F.lit(1).alias("said")))
+    counts = both.withColumn("hit", (F.col("label") == F.col("prediction")).cast("int")).select("hit", F.explode(sides).alias("s"))
+    counts = counts.groupBy(F.col("s.of").alias("label")).agg(F.sum(F.col("s.is") * F.col("hit")).alias("tp"), F.sum("s.is").cast("long").alias("support"), F.sum("s.said").alias("said"))
+    ratio = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
+    tp, n, said = (F.col(c) for c in ("tp", "support", "said"))
+    return counts.select("label", ratio(tp, said).alias("precision"), ratio(tp, n).alias("recall"), ratio(2 * tp, n + said).alias("f1"), "support")
+
+
+def evaluate_scorer(rows: DataFrame, scorer, threshold: float = 0.5) -> DataFrame:
+    """metrics of a scorer (a function from a text column to a score column) over rows with text and label."""
+    scored = rows.where("text IS NOT NULL AND label IS NOT NULL").select("label", scorer(F.col("text")).cast("double").alias("score"))
+    return metrics(scored.select("label", (F.col("score") >= threshold).cast("double").alias("prediction"), "score"))
+
+
 def features(size: int = 10_000, least: int = 2, most: float = 0.95) -> list:
     """Stages: words, their pairs, TF-IDF over the size most frequent, unit length. Input column: text."""
     return [
@@ -101,6 +118,8 @@ def balanced(rows: DataFrame) -> DataFrame:
 class Comparison:
     metrics: DataFrame
     models: dict[str, PipelineModel]
+    class_reports: DataFrame
+    info: DataFrame
 
 
 def score_column(model: PipelineModel, scored: DataFrame) -> Column:
@@ -118,11 +137,14 @@ def compare(rows: DataFrame, names: tuple[str, ...] = ("Logistic Regression", "L
     train = balanced(rows.where("is_train"))
     prepared = Pipeline(stages=features()).fit(train)
     fit, test = (prepared.transform(x).select("label", *more, "features").cache() for x, more in ((train, ["weight"]), (rows.where("NOT is_train"), [])))
-    out, models = None, {}
+    out, reports, models = None, None, {}
     for name in names:
         model = classifiers()[name].fit(fit)
         scored = model.transform(test)
         found = metrics(scored.select("label", "prediction", score_column(model, scored).alias("score"))).select(F.lit(name).alias("model"), "*")
+        by_class = class_report(scored).select(F.lit(name).alias("model"), "*")
         out = found if out is None else out.unionByName(found)
+        reports = by_class if reports is None else reports.unionByName(by_class)
         models[name] = PipelineModel(stages=[*prepared.stages, model])
-    return Comparison(out.orderBy(F.desc("f1"), F.array_position(F.lit(list(names)), F.col("model"))), models)
+    info = rows.agg(F.count_if("is_train").alias("train_samples"), F.count_if(~F.col("is_train")).alias("test_samples"))
+    return Comparison(out.orderBy(F.desc("f1"), F.array_position(F.lit(list(names)), F.col("model"))), models, reports.orderBy("model", "label"), info)

@@ -55,6 +55,14 @@ def split_sections(docs: DataFrame, copy_facts: bool = True) -> DataFrame:
     return rows.select("doc_id", "section", (F.col("first") + F.col("i")).cast("long").alias("pos"), "line")
 
 
+def sections_by_document(docs: DataFrame) -> DataFrame:
+    """doc_id, sections: for each section of the document the array of its lines, as a map. A projection."""
+    rows = with_segments(docs, True)
+    lines_of = lambda s: F.flatten(F.transform(F.filter("segments", lambda r: r["section"] == s), lambda r: F.slice("lines", r["start"] + 1, r["size"])))
+    entries = F.filter(F.array(*[F.struct(F.lit(s).alias("key"), lines_of(s).alias("value")) for s in SECTIONS]), lambda e: F.size(e["value"]) > 0)
+    return rows.select("doc_id", F.map_from_entries(entries).alias("sections"))
+
+
 def section_sizes(segments: Column) -> list[Column]:
     """The number of lines of each section (n_header and so on)."""
     size = lambda s: F.aggregate(F.filter(segments, lambda r: r["section"] == s), F.lit(0).cast("long"), lambda n, r: n + r["size"])

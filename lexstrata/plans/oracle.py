@@ -231,6 +231,10 @@ ORACLE: dict[str, str] = {
     "jdg_p20_locations": _w(RAG, "SELECT chunk_type, location, count(*) AS count FROM rag GROUP BY ALL"),
     "jdg_t6_machine_tree": _w(MTREE, "SELECT * FROM tree"),
     "jdg_a16_location_stats": _w(RAG, "SELECT location, count(*) AS count, count(*) * 100 / (SELECT count(*) FROM rag) AS percent, string_agg(DISTINCT chunk_type, ',' ORDER BY chunk_type) AS chunk_types FROM rag GROUP BY location"),
+    "jdg_k2_machine_payload": _w(
+        RAG + PROC.removeprefix(CHUNKS) + ", rc AS (SELECT doc_id, count(*) AS n, string_agg(concat_ws('|', chunk_id, chunk_type, level, start_line, end_line, title, leveling_symbol, location, full_text), '¦' ORDER BY seq) AS chunks FROM rag GROUP BY doc_id)",
+        "SELECT doc_id, file_name AS filename, learning_region, total_lines, total_symbols_detected, learned_rules_count, final_levels, coalesce(n, 0) AS rag_chunks_count, chunks FROM proc JOIN judgments USING (doc_id) LEFT JOIN rc USING (doc_id)",
+    ),
     "jdg_a19_processing_stats": _w(PROC, "SELECT * EXCLUDE (learning_region) FROM proc"),
     "jdg_a12_batch_totals": _w(PROC, "SELECT learning_region, count(*) AS documents, sum(total_lines)::BIGINT AS lines, sum(total_symbols_detected)::BIGINT AS symbols, avg(rule_coverage) AS mean_coverage FROM proc GROUP BY ALL"),
     "jdg_p21_summaries": _w(PROC, "SELECT doc_id, file_name || ': region ' || learning_region || ', ' || total_symbols_detected || ' symbols, ' || learned_rules_count || ' rules, ' || final_levels || ' levels, ' || line_based_chunks_count || ' chunks' AS summary FROM proc JOIN judgments USING (doc_id)"),

@@ -16,6 +16,7 @@ from ..operators import rag as R
 from ..operators import stats as A
 from ..operators import structure as L
 from ..sources import readers, writers
+from . import reports as R_
 
 log = logging.getLogger(__name__)
 
@@ -129,19 +130,38 @@ class Analysis:
         })
 
 
-def process_directory(spark: SparkSession, in_dir: str, out_dir: str, max_files: int | None = None, reports: bool = True) -> Analysis:
-    """Analyse the JSON files of a folder; write machine results, Markdown, the files' errors and, unless told otherwise, a report."""
+def process_directory(spark: SparkSession, in_dir: str, out_dir: str, max_files: int | None = None, reports: bool = True, file_per_document: bool = True) -> Analysis:
+    """Analyse the JSON files of a folder; write machine results, Markdown (a file a document, or JSON lines), the files' errors
+    and, unless told otherwise, the report, with each document's details as JSON lines and as text."""
     files = readers.judgment_files(spark, in_dir, max_files)
     analysis = Analysis(files.where("error IS NULL").select("doc_id", "file_name", "jfull")).keep()
     writers.write_machine_json(analysis.payload, f"{out_dir}/machine")
-    writers.write_markdown(analysis.markdown, analysis.files, f"{out_dir}/markdown")
+    if file_per_document:
+        writers.write_markdown(analysis.markdown, analysis.files, f"{out_dir}/markdown")
+    else:
+        writers.write_json(analysis.markdown.join(analysis.files.select("doc_id", "file_name"), "doc_id"), f"{out_dir}/markdown")
     writers.write_errors(files, f"{out_dir}/errors")
     if reports:
-        text = analysis.report() + writers.table_text("Errors", A.error_counts(files).orderBy("kind"))
-        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{out_dir}/report")
+        details = R_.adaptive_details(analysis.processing_stats, analysis.rules, analysis.hierarchy, analysis.files)
+        writers.write_json(details, f"{out_dir}/details")
+        R_.details_text(details).select("value").write.mode("overwrite").text(f"{out_dir}/details_text")
+        writers.write_text(spark, analysis.report() + writers.table_text("Errors", A.error_counts(files).orderBy("kind")), f"{out_dir}/report")
     return analysis
 
 
+def detect_directory(spark: SparkSession, in_dir: str, out_dir: str, max_files: int | None = None, scorer: D.Scorer | None = None) -> str:
+    """Detect the markers of the JSON files of a folder; write a result for each file, totals, errors and the report; its text."""
+    files = readers.judgment_files(spark, in_dir, max_files)
+    docs = files.where("error IS NULL").select("doc_id", "file_name", "jfull")
+    writers.write_errors(files, f"{out_dir}/errors")
+    return R_.save_batch(D.detect(docs, scorer), docs, out_dir)
+
+
+def analyze_corpus(spark: SparkSession, in_dir: str, out_dir: str, max_files: int | None = None) -> str:
+    """Statistics of the JSON files of a folder, as save_corpus leaves them; the report."""
+    return R_.save_corpus(readers.judgment_files(spark, in_dir, max_files), out_dir)
+
+
 def markdown_of_machine_results(spark: SparkSession, path: str) -> DataFrame:
     """filename, markdown of the machine results in a folder, without analysing the judgments again.
 
@@ -153,17 +173,31 @@ def markdown_of_machine_results(spark: SparkSession, path: str) -> DataFrame:
     return M.to_markdown(rows, files).join(files.select("doc_id", F.col("file_name").alias("filename")), "doc_id").select("filename", "markdown")
 
 
+RUNS = {
+    "analyse": lambda spark, a: process_directory(spark, a.input, a.output, a.max_files, not a.no_report, not a.json_lines),
+    "detect": lambda spark, a: detect_directory(spark, a.input, a.output, a.max_files),
+    "strict": lambda spark, a: R_.save_ultra_strict(readers.judgment_files(spark, a.input, a.max_files).where("error IS NULL"), a.output),
+    "corpus": lambda spark, a: analyze_corpus(spark, a.input, a.output, a.max_files),
+    "sections": lambda spark, a: R_.save_sections(readers.judgment_files(spark, a.input, a.max_files), a.output),
+    "markdown": lambda spark, a: writers.write_json(markdown_of_machine_results(spark, a.input), a.output),
+    "locations": lambda spark, a: writers.write_text(spark, R_.location_report(Analysis(readers.judgment_files(spark, a.input, a.max_files).where("error IS NULL").select("doc_id", "file_name", "jfull")).rag), a.output),
+}
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description="Analyse the structure of judgments")
-    parser.add_argument("input", help="folder of JSON files")
+    parser.add_argument("run", choices=sorted(RUNS))
+    parser.add_argument("input", help="a folder of JSON files, or one of them")
     parser.add_argument("output")
     parser.add_argument("--max-files", type=int)
     parser.add_argument("--no-report", action="store_true")
+    parser.add_argument("--json-lines", action="store_true", help="Markdown as JSON lines, not a file a document")
     parser.add_argument("--verbose", action="store_true")
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.DEBUG if args.verbose else logging.INFO)
     spark = SparkSession.builder.appName("lexstrata").getOrCreate()
-    process_directory(spark, args.input, args.output, args.max_files, not args.no_report)
+    log.info("Running %s over %s", args.run, args.input)
+    RUNS[args.run](spark, args)
     log.info("Wrote %s", args.output)
     return 0
 

@@ -137,7 +137,8 @@ _over_analysis("jdg_a16_location_stats", lambda a: R.location_stats(a.rag))
 _over_analysis("jdg_a19_processing_stats", lambda a: a.processing_stats)
 _over_analysis("jdg_a12_batch_totals", lambda a: a.batch_totals())
 _over_analysis("jdg_p21_summaries", lambda a: a.summaries)
-_over_analysis("jdg_k2_machine_payload", lambda a: a.payload.select("doc_id", "filename", "learning_region", "processing_stats.*"))
+_CHUNK_TEXT = ("chunk_id", "chunk_type", "level", "start_line", "end_line", "title", "leveling_symbol", "location", "full_text")
+_over_analysis("jdg_k2_machine_payload", lambda a: a.payload.select("doc_id", "filename", "learning_region", "processing_stats.*", flat(F.transform("rag_chunks", lambda c: F.concat_ws("|", *[c[x] for x in _CHUNK_TEXT]))).alias("chunks")))
 
 
 @query("rag_a16_location_stats")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from pathlib import PurePosixPath
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 CHUNK_FIELDS = ["chunk_id", "chunk_type", "level", "start_line", "end_line", "title", "leveling_symbol", "content", "full_text", "hierarchy_path", "parent_titles", "location"]
@@ -34,16 +34,21 @@ def write_machine_files(payload: DataFrame, path: str) -> None:
 
 
 def write_file_per_document(rows: DataFrame, path: str, name: Column, text: Column) -> None:
-    """One file a row, named name, in a folder that all executors share. Written anew if a task runs again."""
-    target = path.removeprefix("file://")
+    """One file a row, named name, written by the tasks to the file system of path (file, hdfs, s3 or gs, by its scheme).
+    Written anew if a task runs again. Off a local master path needs a scheme, so that no executor keeps files to itself."""
+    if "://" not in path and not rows.sparkSession.sparkContext.master.startswith("local"):
+        raise ValueError(f"{path}: name the file system that all executors share, as hdfs:// or file://")
 
     def write(part: Iterator[Row]) -> None:
         import os
 
-        os.makedirs(target, exist_ok=True)
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(path if "://" in path else os.path.abspath(path))
+        system.create_dir(root, recursive=True)
         for row in part:
-            with open(os.path.join(target, PurePosixPath(row["name"]).name), "w", encoding="utf-8") as f:
-                f.write(row["text"])
+            with system.open_output_stream(f"{root}/{PurePosixPath(row['name']).name}") as f:
+                f.write(row["text"].encode("utf-8"))
 
     rows.select(name.alias("name"), text.alias("text")).foreachPartition(write)
 
@@ -58,6 +63,15 @@ def write_markdown(markdown: DataFrame, files: DataFrame, path: str) -> None:
     write_file_per_document(rows, path, F.concat(stem(F.col("file_name")), F.lit(".md")), F.col("markdown"))
 
 
+def write_json(rows: DataFrame, path: str, one_file: bool = False) -> None:
+    """JSON lines; one_file: of small aggregates."""
+    (rows.coalesce(1) if one_file else rows).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def write_by_class(stats: DataFrame, path: str) -> None:
     """Document statistics, in a folder for each class symbol."""
     stats.write.mode("overwrite").partitionBy("symbol").json(path)

@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 from lexstrata.plans import registry
 
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test data")
-WITHOUT_SQL = {"jdg_k2_machine_payload", "ll_u3_u7_compare_models"}
+WITHOUT_SQL = {"ll_u3_u7_compare_models"}
 
 
 def test_contract(spark):

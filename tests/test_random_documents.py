@@ -14,7 +14,7 @@ LINES = [
 ]
 NAMES = [
     "jdg_t1_sections", "jdg_t2_dates", "jdg_t3_structure", "jdg_a13_rules", "jdg_j4_category_levels", "jdg_a14_hierarchy", "jdg_p4_special_markers", "jdg_t4_line_chunks", "jdg_a15_level_content", "jdg_t5_rag_chunks",
-    "jdg_t6_machine_tree", "jdg_t7_markdown", "jdg_p9_ultra_strict", "jdg_a10_doc_stats", "jdg_a19_processing_stats", "jdg_a12_batch_totals", "jdg_p21_summaries", "jdg_a14_coverage", "jdg_w2_previous_line", "jdg_w1_carry_forward", "jdg_t1_section_stats",
+    "jdg_t6_machine_tree", "jdg_t7_markdown", "jdg_p9_ultra_strict", "jdg_a10_doc_stats", "jdg_a19_processing_stats", "jdg_a12_batch_totals", "jdg_k2_machine_payload", "jdg_p21_summaries", "jdg_a14_coverage", "jdg_w2_previous_line", "jdg_w1_carry_forward", "jdg_t1_section_stats",
 ]
 
 
@@ -42,3 +42,19 @@ def corpus(spark, tmp_path_factory):
 def test_equals_sql(spark, corpus, name):
     d, con = corpus
     same_rows(registry.QUERIES[name](spark, d), con.execute(registry.ORACLE[name]))
+
+
+def test_lines_are_not_exchanged(spark, corpus):
+    """Sections, strict markers, previous lines and document statistics are maps; an analysis exchanges documents once."""
+    import re
+
+    d, _ = corpus
+    for name in ("jdg_t1_sections", "jdg_p9_ultra_strict", "jdg_w2_previous_line", "jdg_a10_doc_stats", "jdg_t1_section_stats", "jdg_p12_detect"):
+        plan = registry.QUERIES[name](spark, d)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "Window" not in plan, name
+    for name in ("jdg_t4_line_chunks", "jdg_t5_rag_chunks", "jdg_a13_rules"):
+        rows = registry.QUERIES[name](spark, d)
+        plan = rows._jdf.queryExecution().executedPlan()
+        exchanges = re.findall(r"Exchange hashpartitioning\(doc_id#\d+L, \d+\), REPARTITION_BY_COL", plan.toString())
+        scans = {re.sub(r"#\d+L?", "", x) for x in re.findall(r"FileScan parquet \[[^]]*\]", plan.toString())}
+        assert exchanges and len(scans) == 1, name  # all of one form: Spark runs the first and reuses it

@@ -222,3 +222,33 @@ def test_auc_of_many_scores(spark):
     pos, neg = [s for y, s in data if y], [s for y, s in data if not y]
     want = sum((a > b) + (a == b) / 2 for a in pos for b in neg) / (len(pos) * len(neg))
     assert abs(E.metrics(df).first()["auc"] - want) < 1e-9
+
+
+def test_runs_and_their_outputs(spark, folder, tmp_path):
+    """Every run of the command line leaves what it says, over a folder with unusable files."""
+    read = lambda p: spark.read.json(str(tmp_path / p))
+    for run in ("analyse", "detect", "strict", "corpus", "sections", "locations"):
+        assert pipeline.main([run, str(folder), str(tmp_path / run)]) == 0
+    assert pipeline.main(["analyse", str(folder), str(tmp_path / "lines"), "--json-lines", "--no-report"]) == 0
+    assert {"file_name", "markdown"} <= set(read("lines/markdown").columns)
+    good = read("sections/results").count()
+    counts = read("sections/statistics").first()
+    assert counts["success"] == good > 0 and counts["failed"] == read("detect/errors").count() > 0
+    assert read("detect/results").count() == read("corpus/raw_data").count() == read("analyse/details").count() == good
+    assert read("detect/stats").first()["files"] == good
+    assert read("corpus/class_summary").agg({"count": "sum"}).first()[0] == good
+    assert "## Errors" in spark.read.text(str(tmp_path / "corpus/report")).toPandas().value.str.cat(sep="\n")
+    assert spark.read.text(str(tmp_path / "analyse/details_text")).where("value LIKE '## %'").count() == good
+    assert (tmp_path / "strict/report").exists() and (tmp_path / "locations").exists()
+
+
+def test_class_report_and_scorer(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([(1.0, 1.0), (1.0, 0.0), (0.0, 0.0), (0.0, 0.0), (None, 1.0)], "label double, prediction double")
+    got = {r["label"]: r for r in E.class_report(rows).collect()}
+    assert got[1.0]["precision"] == 1.0 and got[1.0]["recall"] == 0.5 and got[0.0]["support"] == 2 and abs(got[0.0]["precision"] - 2 / 3) < 1e-9
+    assert E.class_report(rows.where("false")).count() == 0
+    texts = spark.createDataFrame([("一", 1.0), ("二", 0.0), (None, 1.0)], "text string, label double")
+    row = E.evaluate_scorer(texts, lambda c: F.when(c == "一", 0.9).otherwise(0.1)).first()
+    assert row["accuracy"] == 1.0 and row["tp"] == 1 and row["tn"] == 1
