@@ -1,7 +1,8 @@
 """Problem 7: encoding the whole corpus with a public byte-level BPE tokenizer.
 
 Method: a minimal acyclic transducer as lexicon. Frequent words are compiled, with their ids as output, into an automaton
-with shared suffixes, broadcast and memory-mapped by the workers; words that aren't in it are merged exactly, by rank.
+with shared suffixes, in one file that Spark hands to every executor and its workers map read-only, so that they share its
+pages; words that aren't in it are merged exactly, by rank.
 
 * A text is split by the tokenizer's pattern, and its words at every place that no token of the vocabulary can bridge:
   two bytes that stand side by side in no token are never merged, so that the ids of a word are those of its parts.
@@ -20,6 +21,8 @@ import heapq
 import mmap
 import os
 import re
+import uuid
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -28,10 +31,11 @@ from struct import pack
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import read, shared_dir
 
 TOKENIZERS = "/opt/tokenizers"
 RANKS = "byte_bpe_50k.tiktoken"
@@ -114,9 +118,9 @@ class Lexicon:
 
     MAGIC = 0x4C4558
 
-    def __init__(self, data: bytes) -> None:
-        self._map = mmap.mmap(-1, len(data))
-        self._map.write(data)
+    def __init__(self, path: str) -> None:
+        with open(path, "rb") as f:
+            self._map = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
         whole = memoryview(self._map).cast("i")
         magic, states, edges, words, ids = whole[:5].tolist()
         if magic != self.MAGIC:
@@ -133,13 +137,11 @@ class Lexicon:
         state, number = self.root, 0
         first, label = self.first, self.label
         for byte in word:
-            for e in range(first[state], first[state + 1]):
-                if label[e] == byte:
-                    number += self.skip[e]
-                    state = self.target[e]
-                    break
-            else:
+            e = bisect_left(label, byte, first[state], first[state + 1])
+            if e == first[state + 1] or label[e] != byte:
                 return None
+            number += self.skip[e]
+            state = self.target[e]
         return self.ids[self.begin[number] : self.begin[number + 1]].tolist() if self.final[state] else None
 
 
@@ -228,7 +230,7 @@ class Encoder(dict):
 
 
 @lru_cache(maxsize=2)
-def _encoder(ranks_path: str, lexicon: bytes | None) -> Encoder:
+def _encoder(ranks_path: str, lexicon: str | None) -> Encoder:
     return Encoder(load_ranks(ranks_path), Lexicon(lexicon) if lexicon else None)
 
 
@@ -244,13 +246,24 @@ def build_lexicon(documents: DataFrame, text_col: str, ranks_path: str, sample_r
     return compile_lexicon((w.encode("utf-8", "replace") for w, _ in counts.most_common(words)), load_ranks(ranks_path))
 
 
+def ship(spark: SparkSession, data: bytes) -> str:
+    """Write data as a file of the shared folder and have Spark hand it to every executor; its name, unique to this run."""
+    name = f"p7-lexicon-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(data))
+    out.close()
+    spark.sparkContext.addFile(path.toString())
+    return name
+
+
 def encode(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizers: str = TOKENIZERS, slice_chars: int = 400_000) -> DataFrame:
     """id_col and ids of every row of documents."""
     ranks_path = os.path.join(tokenizers, RANKS)
-    lexicon = documents.sparkSession.sparkContext.broadcast(build_lexicon(documents, text_col, ranks_path))  # LEXICON_WORDS words
+    lexicon = ship(documents.sparkSession, build_lexicon(documents, text_col, ranks_path))  # LEXICON_WORDS words
 
     def encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(ranks_path, lexicon.value)
+        encoder = _encoder(ranks_path, SparkFiles.get(lexicon))
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             start, sizes, packed = 0, [0], []

@@ -38,6 +38,27 @@ WITH l AS (
 )
 """
 
+_P5 = rf"""
+WITH RECURSIVE j AS (SELECT doc_id, regexp_replace(jfull, '[{_WS}]', '', 'g') AS t FROM judgments WHERE regexp_matches(jfull, '[^{_WS}]')),
+w AS (SELECT DISTINCT doc_id, substr(t, i, 5) AS w FROM j, unnest(range(1, length(t) - 3)) AS x(i)),
+n AS (SELECT doc_id, count(*) AS n FROM w GROUP BY doc_id),
+o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o FROM w x JOIN w y ON x.w = y.w AND x.doc_id < y.doc_id GROUP BY ALL),
+p AS (SELECT a, b FROM o JOIN n n1 ON a = n1.doc_id JOIN n n2 ON b = n2.doc_id WHERE o >= 0.6 * (n1.n + n2.n - o) UNION SELECT x.doc_id, y.doc_id FROM j x JOIN j y ON x.t = y.t AND x.doc_id < y.doc_id),
+c AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS class_id FROM j),
+l AS (SELECT DISTINCT x.class_id AS a, y.class_id AS b FROM p JOIN c x ON p.a = x.doc_id JOIN c y ON p.b = y.doc_id WHERE x.class_id <> y.class_id),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r(a, b) AS (SELECT class_id, class_id FROM c UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+"""
+
+# Runs of 40 characters: every window of an item against every window of a document.
+_P8 = rf"""
+WITH i AS (SELECT item_id, split, source, {_clean('item_text')} AS t FROM eval_items WHERE item_text IS NOT NULL),
+d AS (SELECT doc_id, {_clean('text')} AS t FROM documents WHERE text IS NOT NULL),
+wi AS (SELECT DISTINCT item_id, substr(t, k, 40) AS w FROM i, unnest(range(1, length(t) - 38)) AS x(k)),
+wd AS (SELECT DISTINCT doc_id, substr(t, k, 40) AS w FROM d, unnest(range(1, length(t) - 38)) AS x(k)),
+f AS (SELECT DISTINCT doc_id, item_id FROM wi JOIN wd USING (w))
+"""
+
 ORACLE: dict[str, str] = {
     "p1_found": _P1_GROUPS + "SELECT rec_table, kept_id, id AS copy_id FROM m WHERE id <> kept_id",
     "p1_groups": _P1_GROUPS + "SELECT DISTINCT rec_table, kept_id, n_copies FROM m WHERE n_copies > 1",
@@ -48,11 +69,8 @@ FROM (SELECT split, source, lower(regexp_replace(coalesce(line_text, ''), '[\\p{
     "p4_found": """SELECT 'rag_chunks' AS item_table, 'content' AS field_name, row_id FROM rag_chunks WHERE length(content) > 512
 UNION ALL SELECT 'rag_chunks', 'full_text', row_id FROM rag_chunks WHERE length(full_text) > 512
 UNION ALL SELECT 'line_chunks', 'content_lines', row_id FROM line_chunks WHERE length(array_to_string(list_transform(content_lines, lambda x: coalesce(x, '')), chr(10))) > 512""",
-    "p5_found": rf"""
-WITH j AS (SELECT doc_id, regexp_replace(jfull, '[{_WS}]', '', 'g') AS t FROM judgments WHERE jfull IS NOT NULL),
-w AS (SELECT DISTINCT doc_id, substr(t, i, 5) AS w FROM j, unnest(range(1, length(t) - 3)) AS x(i)),
-n AS (SELECT doc_id, count(*) AS n FROM w GROUP BY doc_id),
-o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o FROM w x JOIN w y ON x.w = y.w AND x.doc_id < y.doc_id GROUP BY ALL)
-SELECT a AS doc_id_a, b AS doc_id_b FROM o JOIN n n1 ON a = n1.doc_id JOIN n n2 ON b = n2.doc_id WHERE o >= 0.6 * (n1.n + n2.n - o)
-UNION SELECT x.doc_id, y.doc_id FROM j x JOIN j y ON x.t = y.t AND x.doc_id < y.doc_id WHERE x.t <> ''""",
+    "p5_found": _P5 + "SELECT a AS doc_id_a, b AS doc_id_b FROM p",
+    "p5_groups": _P5 + """SELECT doc_id, class_id, (SELECT min(b) FROM r WHERE r.a = c.class_id) AS group_id, (SELECT count(*) FROM e WHERE e.a = c.class_id) AS n_links FROM c""",
+    "p8_found": _P8 + "SELECT doc_id, item_id FROM f",
+    "p8_items": _P8 + "SELECT item_id, split, source, count(*) AS n_docs FROM f JOIN i USING (item_id) GROUP BY ALL",
 }

@@ -25,25 +25,37 @@ def library():
     return lambda texts: [x.ids for x in t.encode_batch(texts, add_special_tokens=False)]
 
 
-def test_p7_random_texts(library):
+@pytest.fixture
+def mapped(tmp_path):
+    """A lexicon of words, in a file of its own."""
+
+    def make(words, ranks):
+        path = tmp_path / f"lexicon-{len(list(tmp_path.iterdir()))}"
+        path.write_bytes(p7.compile_lexicon(words, ranks))
+        return p7.Lexicon(str(path))
+
+    return make
+
+
+def test_p7_random_texts(library, mapped):
     rng = random.Random(4)
     alphabet = "ab 1'tsé一二三龍喚士裏覚醒金年，。\n　カタの\U0001f469\U00020000ñ"
     texts = TEXTS + ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
     ranks = p7.load_ranks(os.path.join(p7.TOKENIZERS, p7.RANKS))
     words = ["一", "二三", " the", "金年", "ab", "abc"]
-    for encoder in (p7.Encoder(ranks), p7.Encoder(ranks, p7.Lexicon(p7.compile_lexicon([w.encode() for w in words], ranks)))):
+    for encoder in (p7.Encoder(ranks), p7.Encoder(ranks, mapped([w.encode() for w in words], ranks))):
         assert [np.frombuffer(encoder.encode(t), np.int32).tolist() for t in texts] == library(texts)
 
 
-def test_p7_lexicon():
+def test_p7_lexicon(mapped):
     ranks = {bytes([i]): i for i in range(256)} | {b"ab": 300, b"abc": 301}
     words = [b"ab", b"abc", b"b", b"bc", b"xbc", b"ybc"]
-    lexicon = p7.Lexicon(p7.compile_lexicon(words, ranks))
+    lexicon = mapped(words, ranks)
     assert {w: lexicon.get(w) for w in words} == {w: p7.merge(w, ranks) for w in words}
     assert lexicon.get(b"a") is None and lexicon.get(b"abcd") is None and lexicon.get(b"") is None
-    assert p7.Lexicon(p7.compile_lexicon([], ranks)).get(b"a") is None
+    assert mapped([], ranks).get(b"a") is None
     many = [f"{i:05d}ing".encode() for i in range(2000)]
-    lexicon = p7.Lexicon(p7.compile_lexicon(many, ranks))
+    lexicon = mapped(many, ranks)
     assert all(lexicon.get(w) == p7.merge(w, ranks) for w in many)
     assert lexicon.first[-1] < 3000  # suffixes are shared
 
