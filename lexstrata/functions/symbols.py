@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# First and last code point of the standard categories that are ranges, all symbols of the others.
-_SPELLED = {"中文數字": "一二三四五六七八九十", "大寫中文數字": "壹貳參肆伍陸柒捌玖拾", "天干": "甲乙丙丁戊己庚辛壬癸", "地支": "子丑寅卯辰巳午未申酉戌亥"}
-_RANGES = {"圍字數字": (0x3220, 0x3229), "帶圈數字": (0x2460, 0x2473), "括號數字": (0x2474, 0x2487), "全形數字": (0xFF10, 0xFF19), "羅馬數字": (0x2160, 0x216B)}
-_EXTRA = {"帶圈數字": "⓪"}
+# The symbols of the nine standard categories, in order.
+STANDARD = {
+    "中文數字": "一二三四五六七八九十",
+    "大寫中文數字": "壹貳參肆伍陸柒捌玖拾",
+    "天干": "甲乙丙丁戊己庚辛壬癸",
+    "地支": "子丑寅卯辰巳午未申酉戌亥",
+    "圍字數字": "㈠㈡㈢㈣㈤㈥㈦㈧㈨㈩",
+    "帶圈數字": "⓪①②③④⑤⑥⑦⑧⑨⑩⑪⑫⑬⑭⑮⑯⑰⑱⑲⑳",
+    "括號數字": "⑴⑵⑶⑷⑸⑹⑺⑻⑼⑽⑾⑿⒀⒁⒂⒃⒄⒅⒆⒇",
+    "全形數字": "０１２３４５６７８９",
+    "羅馬數字": "ⅠⅡⅢⅣⅤⅥⅦⅧⅨⅩⅪⅫ",
+}
 
 UNGROUPED = "PUA_未分組"
 # Private-use groups as disjoint ranges.
@@ -29,9 +37,7 @@ MAX_LEVELS = 18
 
 def standard_symbols() -> dict[str, str]:
     """Category by symbol."""
-    out = {c: name for name, chars in _SPELLED.items() for c in chars}
-    out |= {chr(cp): name for name, (lo, hi) in _RANGES.items() for cp in range(lo, hi + 1)}
-    return out | {c: name for name, chars in _EXTRA.items() for c in chars}
+    return {c: name for name, chars in STANDARD.items() for c in chars}
 
 
 def symbol_table(spark: SparkSession) -> DataFrame:

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import IDF, CountVectorizer, NGram, Normalizer, RegexTokenizer, SQLTransformer
+from pyspark.ml.feature import Bucketizer, CountVectorizer, IDF, NGram, Normalizer, RegexTokenizer, SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,7 +23,7 @@ def class_balance(rows: DataFrame) -> DataFrame:
     return rows.groupBy("sentiment").agg(F.count("*").alias("count"))
 
 
-BUCKETS = 4096
+BUCKETS, CUTS = 4096, 500
 
 
 def stratified_split(rows: DataFrame, label: str, key: str, share: float = 0.8, seed: int = 42) -> DataFrame:
@@ -51,10 +51,11 @@ def metrics(rows: DataFrame) -> DataFrame:
     number is the sum over lower buckets of scores, and a running sum within a bucket."""
     y, p = F.col("label") == 1, F.col("prediction") == 1
     by = rows.groupBy("score").agg(F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"), F.count_if(y & ~p).alias("fn"), F.count_if(~y & ~p).alias("tn"), F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
-    low, high = rows.agg(F.min("score"), F.max("score")).first()
-    width = (high - low) / BUCKETS if low is not None and high > low else 1.0
-    by = by.withColumn("bucket", F.floor((F.col("score") - F.lit(low or 0.0)) / F.lit(width)))
-    sums = by.groupBy("bucket").agg(F.sum("neg").alias("n"))  # at most BUCKETS + 1 rows
+    # Buckets of about as many rows each, also where scores are packed: bounded by CUTS numbers.
+    cuts = sorted(set(rows.where("score IS NOT NULL").approxQuantile("score", [i / CUTS for i in range(1, CUTS)], 0.5 / CUTS)))
+    splits = [-float("inf"), *cuts, float("inf")]
+    by = Bucketizer(splits=splits, inputCol="score", outputCol="bucket", handleInvalid="keep").transform(by) if cuts else by.withColumn("bucket", F.lit(0.0))
+    sums = by.groupBy("bucket").agg(F.sum("neg").alias("n"))  # at most CUTS + 1 rows
     sums = sums.select("bucket", (F.sum("n").over(Window.partitionBy(F.lit(1)).orderBy("bucket")) - F.col("n")).alias("lower"))
     within = F.sum("neg").over(Window.partitionBy("bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1))
     by = by.join(F.broadcast(sums), "bucket").withColumn("below", F.col("lower") + F.coalesce(within, F.lit(0)))

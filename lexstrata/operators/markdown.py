@@ -69,7 +69,13 @@ def chunk_markdown(chunks: DataFrame) -> DataFrame:
     rows = rows.withColumns({"before": F.lag("level").over(in_order()), "after": F.lead("level").over(in_order())})
     # The reset group of a row: headings and numbered rows of a smaller level so far.
     resets = [F.count_if(F.col("heading") | (F.col("numbered") & (level < lv))).over(up_to()) for lv in range(1, MAX_LEVELS + 1)]
-    group = F.coalesce(*[F.when(level == lv, c) for lv, c in enumerate(resets, 1)], F.lit(0))
+    # Judgments have MAX_LEVELS levels at most. Results of other origin may have more: there a row counts in the list of those
+    # before it, which is gathered in such documents only.
+    deepest = F.max("level").over(Window.partitionBy("doc_id"))
+    earlier = F.collect_list(F.when(F.col("deepest") > MAX_LEVELS, F.struct("heading", "numbered", "level"))).over(up_to())
+    rows = rows.withColumn("deepest", deepest).withColumn("earlier", earlier)
+    deep = F.when(level > MAX_LEVELS, F.size(F.filter("earlier", lambda x: x["heading"] | (x["numbered"] & (x["level"] < level)))))
+    group = F.coalesce(*[F.when(level == lv, c) for lv, c in enumerate(resets, 1)], deep, F.lit(0))
     rows = rows.withColumn("reset", group)
     number = F.row_number().over(Window.partitionBy("doc_id", "level", "reset", "numbered").orderBy("seq"))
     rows = rows.withColumn("number", number)

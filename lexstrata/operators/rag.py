@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.symbols import MAX_LEVELS
 
+# Words of an outermost title, in order, and the place they stand for.
+TITLE_WORDS = (
+    (("附表", "附錄", "附件"), "A"),
+    (("事實及理由", "事實和理由", "事實與理由"), "S"),
+    (("事實", "事　實"), "F"),
+    (("理由", "理　由"), "R"),
+    (("主文", "主　文"), "M"),
+)
 SPECIAL = ("header", "footer", "signature", "date")
 
 
@@ -58,10 +66,9 @@ def location(kind: Column, titles: Column, dates_before: Column) -> Column:
     for name, place in direct.items():
         out = out.when(kind == name, place)
     first = F.try_element_at(titles, F.lit(1))
-    # Words of an outermost title, in order.
-    for words, place in (("附表 附錄 附件", "A"), ("事實及理由 事實和理由 事實與理由", "S"), ("事實 事　實", "F"), ("理由 理　由", "R"), ("主文 主　文", "M")):
+    for words, place in TITLE_WORDS:
         has = F.lit(False)
-        for w in words.split(" "):
+        for w in words:
             has = has | first.contains(w)
         out = out.when(has, place)
     return out.otherwise("O")

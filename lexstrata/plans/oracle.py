@@ -172,6 +172,8 @@ def _w(ctes: str, select: str) -> str:
 ORACLE: dict[str, str] = {
     "jdg_s1_judgments": "SELECT doc_id, file_name, court, coalesce(jid, 'Unknown') AS jid, jfull FROM judgments",
     "jdg_s5_raw_length": "SELECT doc_id, length(jfull) AS n_chars FROM judgments",
+    "src_s1_json_files": "SELECT doc_id || '.json' AS file_name, coalesce(jid, 'Unknown') AS jid, jfull, CASE WHEN jfull IS NULL THEN 'No JFULL field found' END AS error FROM judgments",
+    "src_s6_training_csv": "SELECT coalesce(line_text, '') AS line_text, coalesce(sentiment, '') AS sentiment, count(*) AS count FROM labelled_lines GROUP BY ALL",
     "jdg_lines_crlf": _w(A, "SELECT doc_id, idx0, raw FROM a"),
     "jdg_lines_lf": _w(B, "SELECT doc_id, idx0, raw FROM b"),
     "jdg_p1_without_space": _w(B, f"SELECT doc_id, idx0, {_bare('raw')} AS bare, {_strip('raw')} AS stripped FROM b"),

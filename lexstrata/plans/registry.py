@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,7 +20,7 @@ from ..operators import rag as R
 from ..operators import sections as P
 from ..operators import stats as A
 from ..operators import structure as L
-from ..sources import readers
+from ..sources import readers, writers
 from .oracle import DIGITS, ORACLE, ROUNDED  # noqa: F401
 from .pipeline import Analysis
 
@@ -64,6 +66,36 @@ _over_docs("jdg_lines_crlf", N.crlf_lines)
 _over_docs("jdg_lines_lf", N.lf_lines)
 _over_docs("jdg_p1_without_space", lambda d: N.lf_lines(d).select("doc_id", "idx0", X.without_space(F.col("raw")).alias("bare"), X.strip(F.col("raw")).alias("stripped")))
 
+def _written(spark: SparkSession, name: str) -> str:
+    """A folder of the shared one for files that a query writes before it reads them."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        at = tempfile.mkdtemp(prefix="lexstrata-")
+    return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query("src_s1_json_files")
+def json_files(spark: SparkSession, d: str) -> DataFrame:
+    """The judgments as JSON files, one each, read again: rows with a null text have no JFULL."""
+    path = _written(spark, "json-files")
+    rows = _docs(spark, d)
+    writers.write_file_per_document(rows, path, F.concat(F.col("doc_id").cast("string"), F.lit(".json")), F.to_json(F.struct(F.col("jid").alias("JID"), F.col("jfull").alias("JFULL"))))
+    return readers.judgment_files(spark, path).select("file_name", "jid", "jfull", "error")
+
+
+@query("src_s6_training_csv")
+def training_csv(spark: SparkSession, d: str) -> DataFrame:
+    """The labelled lines as a CSV file with a header, read again; of a null and an empty field a CSV file makes no difference."""
+    path = _written(spark, "training-csv")
+    empty = lambda c: F.coalesce(c, F.lit(""))
+    rows = readers.table(spark, d, "labelled_lines").select(empty(F.col("line_text")).alias("line_text"), empty(F.col("sentiment")).alias("sentiment"))
+    rows.write.option("header", True).option("escape", '"').option("quoteAll", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    read = readers.labelled_csv(spark, path).select(empty(F.col("line_text")).alias("line_text"), empty(F.col("sentiment")).alias("sentiment"))
+    return read.groupBy("line_text", "sentiment").agg(F.count("*").alias("count"))
+
+
 # Sections and dates
 _over_docs("jdg_p2_line_labels", lambda d: N.crlf_lines(d).select("doc_id", "idx0", P.line_label(F.col("raw")).alias("label")))
 _over_docs("jdg_p3_date_lines", lambda d: N.lf_lines(d).where(X.is_roc_date(F.col("raw"))).select("doc_id", "idx0"))

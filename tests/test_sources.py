@@ -252,3 +252,13 @@ def test_class_report_and_scorer(spark):
     texts = spark.createDataFrame([("一", 1.0), ("二", 0.0), (None, 1.0)], "text string, label double")
     row = E.evaluate_scorer(texts, lambda c: F.when(c == "一", 0.9).otherwise(0.1)).first()
     assert row["accuracy"] == 1.0 and row["tp"] == 1 and row["tn"] == 1
+
+
+def test_deep_levels_are_numbered(spark):
+    """Levels over those that judgments have, as results of other origin may hold."""
+    from lexstrata.operators import markdown as M
+
+    rows = [(1, i, lv, "leveling_symbol", [t]) for i, (lv, t) in enumerate([(1, "a"), (30, "b"), (30, "c"), (25, "d"), (30, "e"), (1, "f"), (30, "g")])]
+    chunks = spark.createDataFrame(rows, "doc_id long, seq long, level long, chunk_type string, content_lines array<string>")
+    got = [r["block"][0].strip() for r in M.chunk_markdown(chunks).orderBy("seq").collect()]
+    assert got == ["1. a", "1. b", "2. c", "1. d", "1. e", "2. f", "1. g"]
