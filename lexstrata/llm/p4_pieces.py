@@ -56,7 +56,7 @@ def offsets(text: str) -> tuple[list[int], list[list[int]]]:
     # What the closing marks close.
     at = np.maximum.accumulate(np.where(kind == CLOSE, 0, np.arange(cps.size)))
     base = np.where(stop, SENTENCE, kind)[at]
-    base[np.isin(base, (CLOSE, STOP, WORD, MARK, BLANK))] = OTHER
+    base[np.isin(base, (CLOSE, STOP, WORD, MARK, BLANK)) | (kind == CLOSE) & (base == LINE)] = OTHER
     glued = (after == MARK) & (kind != LINE)
     glued |= (kind == after) & np.isin(kind, (SENTENCE, CLAUSE, WORD))
     glued |= (after == CLOSE) & np.isin(base, (SENTENCE, CLAUSE))
