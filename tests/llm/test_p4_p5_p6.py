@@ -52,6 +52,14 @@ def naive_cut(text, limit, overlap):
                 return 9 if k == e and after and after in marks else n
         return 9
 
+    def inside(e):
+        """Whether e parts marks from what closes them, or from each other."""
+        k = e
+        while k and text[k - 1] in close:
+            k -= 1
+        sets = ("。！？!?…", "；;，,、：:")
+        return e < len(text) and k > 0 and any(text[k - 1] in s and (text[e] in close or k == e and text[e] in s) for s in sets)
+
     while len(text) - start > limit:
         top, least = start + limit, start + overlap + 1
         found = None
@@ -59,7 +67,9 @@ def naive_cut(text, limit, overlap):
             for most in (1, 2, 3):
                 if found is None:
                     found = next((e for e in range(top, low - 1, -1) if kind(e) <= most), None)
-        out.append((start, top if found is None else found))
+        if found is None:  # the last end of a token
+            found = next((e for e in range(top, least - 1, -1) if not inside(e)), top)
+        out.append((start, found))
         start = out[-1][1] - overlap
     return [*out, (start, len(text))]
 
