@@ -75,10 +75,8 @@ def naive_cut(text, limit, overlap):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(alphabet="甲乙丙丁，。；」\n\r", max_size=300), st.integers(10, 60), st.integers(0, 9))
+@given(st.text(alphabet="甲乙丙丁，。；」\n", max_size=300), st.integers(10, 60), st.integers(0, 9))
 def test_p4_equals_the_naive_rule(text, limit, overlap):
-    if "\r\n" in text:  # where only a hard cut could part them, the token stays whole
-        text = text.replace("\r\n", "\n")
     assert p4.cut(text, limit, overlap) == naive_cut(text, limit, overlap)
 
 
