@@ -374,8 +374,8 @@ def entities(text: str) -> list[Candidate]:
     return decode(candidates(text, WEIGHTS), WEIGHTS)
 
 
-def batch_entities(texts: list[str], at_once: int = 200_000) -> Iterator[list[tuple[str, str]]]:
-    """For each text the (type, text) of its entities: texts are read many at a time, as lines of one."""
+def batch_spans(texts: list[str], at_once: int = 200_000) -> Iterator[list[tuple[int, int, str]]]:
+    """For each text the (start, end, type) of its entities, in order: texts are read many at a time, as lines of one."""
     some: list[str] = []
     size = 0
     for k, text in enumerate(texts):
@@ -383,27 +383,40 @@ def batch_entities(texts: list[str], at_once: int = 200_000) -> Iterator[list[tu
         size += len(text) + 1
         if size >= at_once or k == len(texts) - 1:
             begin = np.cumsum([0, *(len(x) + 1 for x in some)]).tolist()
-            whole = "\n".join(some)
-            found: list[list[tuple[str, str]]] = [[] for _ in some]
-            for c in entities(whole):
-                found[bisect_right(begin, c.start) - 1].append((c.type, whole[c.start : c.end]))
+            found: list[list[tuple[int, int, str]]] = [[] for _ in some]
+            for c in entities("\n".join(some)):
+                at = bisect_right(begin, c.start) - 1
+                found[at].append((c.start - begin[at], c.end - begin[at], c.type))
             yield from found
             some, size = [], 0
 
 
-def redact(text: str) -> str:
-    """text with [TYPE] in place of each entity."""
+def batch_entities(texts: list[str], at_once: int = 200_000) -> Iterator[list[tuple[str, str]]]:
+    """For each text the (type, text) of its entities."""
+    for text, spans in zip(texts, batch_spans(texts, at_once)):
+        yield [(kind, text[a:b]) for a, b, kind in spans]
+
+
+def placeholders(text: str, spans: list[tuple[int, int, str]]) -> str:
+    """text with [TYPE] in place of each span."""
     out, at = [], 0
-    for c in entities(text):
-        out += [text[at : c.start], f"[{c.type.upper()}]"]
-        at = c.end
+    for a, b, kind in spans:
+        out += [text[at:a], f"[{kind.upper()}]"]
+        at = b
     return "".join([*out, text[at:]])
 
 
+def redact(text: str) -> str:
+    """text with [TYPE] in place of each entity."""
+    return placeholders(text, next(batch_spans([text])))
+
+
 @F.pandas_udf(T.StringType())
 def redacted(texts: pd.Series) -> pd.Series:
     """Column form of redact."""
-    return texts.map(redact, na_action="ignore")
+    known = texts.fillna("").tolist()
+    out = [placeholders(t, spans) for t, spans in zip(known, batch_spans(known))]
+    return pd.Series(out, index=texts.index, dtype=object).where(texts.notna(), None)
 
 
 def find(records: DataFrame) -> DataFrame:
