@@ -1,5 +1,9 @@
 """SQL for DuckDB of the pN_ queries that SQL can express, written apart from the operators."""
 
+import unicodedata
+
+from .p6_same_look import LOOKALIKES, RADICALS
+
 # White space as Python's isspace has it; DuckDB's \s is ASCII.
 _WS = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _clean = lambda c: rf"lower(regexp_replace({c}, '[\p{{P}}{_WS}]', '', 'g'))"
@@ -59,6 +63,26 @@ wd AS (SELECT DISTINCT doc_id, substr(t, k, 40) AS w FROM d, unnest(range(1, len
 f AS (SELECT DISTINCT doc_id, item_id FROM wi JOIN wd USING (w))
 """
 
+def _one_to_one() -> tuple[str, str]:
+    """Characters and what they look like, by the Unicode database: spaces, full- and half-width forms, radicals, and the
+    fixed lists of shapes."""
+    pairs = {chr(cp): unicodedata.normalize("NFKC", chr(cp)) for cp in (*range(0xFF01, 0xFFE3), *range(0xFFE4, 0xFFEF), *range(0x2F00, 0x2FD6))}
+    pairs |= {"￣": "¯", "⺟": "母", "⻳": "龟"} | {chr(cp): " " for cp in range(0x10000) if unicodedata.category(chr(cp)) == "Zs"}
+    pairs |= {a: b for old, new in LOOKALIKES for a, b in zip(old, new)} | {x[0]: x[1] for x in RADICALS.split()}
+    pairs = {a: b for a, b in pairs.items() if len(b) == 1 and a != b}
+    return "".join(pairs), "".join(pairs.values())
+
+
+_FROM, _TO = (x.replace("'", "''") for x in _one_to_one())
+_GONE = r"[\p{Cf}\x{fe00}-\x{fe0f}\x{e0100}-\x{e01ef}\x{180b}-\x{180d}\x{034f}\x{180f}]"
+_P6 = rf"""
+WITH r AS (
+  SELECT 'judgments' AS rec_table, doc_id AS id, 0 AS scope, jfull AS t FROM judgments UNION ALL SELECT 'detections', detection_id, coalesce(doc_id, -1), line_text FROM detections
+), k AS (
+  SELECT *, nfc_normalize(translate(nfc_normalize(regexp_replace(t, '{_GONE}', '', 'g')), '{_FROM}', '{_TO}')) AS look FROM r WHERE regexp_matches(t, '[^{_WS}]')
+)
+"""
+
 ORACLE: dict[str, str] = {
     "p1_found": _P1_GROUPS + "SELECT rec_table, kept_id, id AS copy_id FROM m WHERE id <> kept_id",
     "p1_groups": _P1_GROUPS + "SELECT DISTINCT rec_table, kept_id, n_copies FROM m WHERE n_copies > 1",
@@ -71,6 +95,7 @@ UNION ALL SELECT 'rag_chunks', 'full_text', row_id FROM rag_chunks WHERE length(
 UNION ALL SELECT 'line_chunks', 'content_lines', row_id FROM line_chunks WHERE length(array_to_string(list_transform(content_lines, lambda x: coalesce(x, '')), chr(10))) > 512""",
     "p5_found": _P5 + "SELECT a AS doc_id_a, b AS doc_id_b FROM p",
     "p5_groups": _P5 + """SELECT doc_id, class_id, (SELECT min(b) FROM r WHERE r.a = c.class_id) AS group_id, (SELECT count(*) FROM e WHERE e.a = c.class_id) AS n_links FROM c""",
+    "p6_found": _P6 + "SELECT x.rec_table, x.id AS id_a, y.id AS id_b FROM k x JOIN k y ON x.rec_table = y.rec_table AND x.scope = y.scope AND x.look = y.look AND x.id < y.id AND x.t <> y.t",
     "p8_found": _P8 + "SELECT doc_id, item_id FROM f",
     "p8_items": _P8 + "SELECT item_id, split, source, count(*) AS n_docs FROM f JOIN i USING (item_id) GROUP BY ALL",
 }
