@@ -12,7 +12,7 @@ def stats(spark, tmp_path):
     return A.doc_stats(spark.read.parquet(str(tmp_path / "docs")))
 
 
-@pytest.mark.parametrize("make", [A.traditional_counts])
+@pytest.mark.parametrize("make", [A.traditional_counts, A.largest_classes])
 def test_no_filter_on_what_the_class_is_made_of(stats, make):
     """A filter on the symbol stood on the scan with all of its expressions, each many times over."""
     plan = make(stats)._jdf.queryExecution().optimizedPlan().toString()
@@ -21,3 +21,4 @@ def test_no_filter_on_what_the_class_is_made_of(stats, make):
 
 def test_classes_leave_out_errors(stats):
     assert {tuple(r) for r in A.traditional_counts(stats).collect()} == {("separated", 1), ("combined", 2), ("incomplete", 1)}
+    assert [tuple(r)[:3] for r in A.largest_classes(stats).collect()] == [("MS", 2, 2.5), ("MFR", 1, 2.0), ("N", 1, 0.0)]
